@@ -14,13 +14,13 @@ def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def coordinates(features: Features, size: int) -> list[Column]:
-    """One double column per coordinate, from an array column or from a list of columns."""
+def coordinates(features: Features, size: int) -> list[str]:
+    """One double per coordinate, as SQL text, from an array column or from a list of columns."""
     if isinstance(features, str):
-        return [F.col(features)[i].cast("double") for i in range(size)]
+        return [f"cast(`{features}`[{i}] as double)" for i in range(size)]
     if len(features) != size:
         raise ValueError(f"{len(features)} feature columns against vectors of size {size}")
-    return [F.col(f).cast("double") for f in features]
+    return [f"cast(`{f}` as double)" for f in features]
 
 
 def as_vector(features: Features) -> Column:

@@ -19,7 +19,7 @@ from skeinset.functions.kernels import distances, strips
 from skeinset.functions.vectors import Features, as_vector, coordinates
 from skeinset.operators import tiles
 
-INLINE_DOUBLES = 32
+INLINE_DOUBLES = 64
 LOCAL_DOUBLES = 1_000_000
 
 CENTROID_SCHEMA = pa.schema([("cid", pa.int64()), ("c", pa.list_(pa.float64()))])
@@ -78,35 +78,38 @@ def with_nearest(points: DataFrame, centroids: Centroids, features: Features, se
 
 
 def _inline(points: DataFrame, centroids: Centroids, features: Features, second: bool) -> DataFrame:
+    # The coordinates come as a scalar subquery over a local table and not as literals: the code
+    # generated for a round is then the same text as for the one before, and is compiled once.
     # NaN in place of null keeps the arithmetic free of null tests; it is caught at the end.
-    missing = F.lit(float("nan"))
-    lifted = {f"__f{i}": F.coalesce(c, missing) for i, c in enumerate(coordinates(features, centroids.size))}
+    # Expressions are SQL text, since building them call by call takes longer than a small round.
+    size = centroids.size
+    flat = [v for _, c in centroids.rows for v in c]
+    table = local_table(points.sparkSession, [(flat,)], pa.schema([("m", pa.list_(pa.float64()))])).scalar()
+    lifted = [f"coalesce({c}, double('NaN')) as __f{i}" for i, c in enumerate(coordinates(features, size))]
     found = []
-    for _, centre in centroids.rows:
-        total = None
-        for i, value in enumerate(centre):
-            gap = F.col(f"__f{i}") - F.lit(value)
-            total = gap * gap if total is None else total + gap * gap
-        found.append(F.sqrt(total))
+    for j in range(len(centroids.rows)):
+        gaps = [f"(__f{i} - coalesce(get(__m, {j * size + i}), double('NaN')))" for i in range(size)]
+        found.append(f"sqrt({' + '.join(f'{g} * {g}' for g in gaps)})")
     cids = [cid for cid, _ in centroids.rows]
-    position = F.array_position("__d", F.col("__near"))
-    contiguous = cids == list(range(len(cids)))
-    cid = position - 1 if contiguous else F.element_at(F.array(*[F.lit(c) for c in cids]), position.cast("int"))
-    checked = F.when(F.isnan("__near"), F.raise_error(F.lit("a point lacks a coordinate")).cast("double"))
-    extra = [F.get(F.sort_array("__d"), F.lit(1)).alias("second")] if second else []
+    cid = "array_position(__d, __near) - 1"
+    if cids != list(range(len(cids))):
+        cid = f"element_at(array({', '.join(f'{c}L' for c in cids)}), cast(array_position(__d, __near) as int))"
+    checked = "if(isnan(__near), cast(raise_error('a point lacks a coordinate') as double), __near) as dist"
+    extra = ["get(sort_array(__d), 1) as second"] if second else []
     return (
-        points.withColumns(lifted)
-        .withColumn("__d", F.array(*found))
-        .withColumn("__near", F.array_min("__d"))
-        .select(
-            *[F.col(f"`{c}`") for c in points.columns],
-            cid.cast("bigint").alias("cid"),
-            checked.otherwise(F.col("__near")).alias("dist"),
-            *extra,
-        )
+        points.withColumn("__m", table)
+        .selectExpr("*", *lifted)
+        .selectExpr("*", f"array({', '.join(found)}) as __d")
+        .selectExpr("*", "array_min(__d) as __near")
+        .selectExpr(*[f"`{c}`" for c in points.columns], _never_null(cid), checked, *extra)
     )
 
 
+def _never_null(cid: str) -> str:
+    """The assigned cid, typed as never null: a join on it then adds no null test on the points."""
+    return f"coalesce({cid}, -1L) as cid"
+
+
 def _batched(points: DataFrame, centroids: Centroids, features: Features, second: bool) -> DataFrame:
     cids = np.array([cid for cid, _ in centroids.rows], dtype="int64")
     table = np.array([c for _, c in centroids.rows], dtype="float64")
@@ -132,12 +135,11 @@ def _batched(points: DataFrame, centroids: Centroids, features: Features, second
             names=["cid", "dist", "second"],
         )
 
-    extra = [F.col("__n.second").alias("second")] if second else []
-    return points.withColumn("__n", nearest(as_vector(features))).select(
-        *[F.col(f"`{c}`") for c in points.columns],
-        F.col("__n.cid").alias("cid"),
-        F.col("__n.dist").alias("dist"),
-        *extra,
+    return points.withColumn("__n", nearest(as_vector(features))).selectExpr(
+        *[f"`{c}`" for c in points.columns],
+        _never_null("__n.cid"),
+        "__n.dist as dist",
+        *(["__n.second as second"] if second else []),
     )
 
 

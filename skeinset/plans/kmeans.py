@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -82,13 +82,14 @@ def cluster_means(
 ) -> DataFrame:
     """``cid, c, n``: the mean of the points nearest to each centroid that has any."""
     near = with_nearest(points, centroids, features)
-    each = coordinates(features, centroids.size)
-    heft: Column = F.lit(1) if weight is None else F.col(weight)
-    sums = [F.sum(x if weight is None else x * heft).alias(f"__s{i}") for i, x in enumerate(each)]
-    grouped = near.groupBy("cid").agg(*sums, F.sum(heft).cast("bigint").alias("n"))
-    return grouped.select(
-        "cid", F.array(*[F.col(f"__s{i}") / F.col("n") for i in range(centroids.size)]).alias("c"), "n"
-    )
+    heft = "1" if weight is None else f"`{weight}`"
+    sums = [
+        f"sum({c if weight is None else f'{c} * {heft}'}) as __s{i}"
+        for i, c in enumerate(coordinates(features, centroids.size))
+    ]
+    grouped = near.groupBy("cid").agg(*[F.expr(e) for e in [*sums, f"cast(sum({heft}) as bigint) as n"]])
+    means = ", ".join(f"__s{i} / n" for i in range(centroids.size))
+    return grouped.selectExpr("cid", f"array({means}) as c", "n")
 
 
 def kmeans_step(points: DataFrame, centroids: DataFrame, features: Features, empty: str = "drop") -> DataFrame:
@@ -106,14 +107,14 @@ def _round(points: DataFrame, old: Centroids, features: Features, stop: str | No
     means = cluster_means(points, old, features)
     before = old.df.withColumnRenamed("c", "prev")
     if empty == "keep":
-        moved = before.join(means, "cid", "left").select(
-            "cid", F.coalesce("c", "prev").alias("c"), F.coalesce("n", F.lit(0)).alias("n"), "prev"
+        moved = before.join(means, "cid", "left").selectExpr(
+            "cid", "coalesce(c, prev) as c", "coalesce(n, 0L) as n", "prev"
         )
     else:
         moved = means.join(before, "cid")
     if stop == "nearest":
-        return with_nearest(moved.withColumnRenamed("cid", "__cid"), old, "c").select(
-            F.col("__cid").alias("cid"), "c", "n", "prev", F.col("dist").alias("shift")
+        return with_nearest(moved.withColumnRenamed("cid", "__cid"), old, "c").selectExpr(
+            "__cid as cid", "c", "n", "prev", "dist as shift"
         )
     return moved.withColumn("shift", euclidean("c", "prev"))
 
