@@ -14,21 +14,22 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STRIP_CELLS = 1_000_000
+STRIP_CELLS = 50_000
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Euclidean distances, summed coordinate by coordinate as the column form does."""
     total = np.zeros((len(x), len(y)))
-    for d in range(x.shape[1]):
-        gap = np.subtract.outer(x[:, d], y[:, d])
-        gap *= gap
+    gap = np.empty_like(total)
+    for a, b in zip(np.ascontiguousarray(x.T)[:, :, None], np.ascontiguousarray(y.T)):
+        np.subtract(a, b, out=gap)
+        np.multiply(gap, gap, out=gap)
         total += gap
     return np.sqrt(total, out=total)
 
 
 def strips(x: np.ndarray, width: int) -> Iterator[slice]:
-    """Row ranges of ``x`` whose distance table to ``width`` rows stays small."""
+    """Row ranges of ``x`` whose distance table to ``width`` rows fits the processor cache."""
     step = max(1, STRIP_CELLS // max(width, 1))
     for start in range(0, len(x), step):
         yield slice(start, start + step)

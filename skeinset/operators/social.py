@@ -135,15 +135,14 @@ def one_way_same_group(
         links.join(tail, "__src")
         .join(head, "__dst")
         .filter(F.col("__g") == F.col("__h"))
-        .select("__src", "__dst", "__g")
+        .select("__src", "__dst", "__h")
     )
-    back = inside.select(F.col("__dst").alias("__a"), F.col("__src").alias("__b"))
-    one_way = inside.join(
-        back, (F.col("__src") == F.col("__a")) & (F.col("__dst") == F.col("__b")), "left_anti"
-    )
-    sources = one_way.select("__src", "__g").distinct()
+    back = inside.select(F.col("__dst").alias("__a"), F.col("__src").alias("__b"), F.col("__h").alias("__k"))
+    # The group is part of the key: without it the anti-join would be pushed below the group test.
+    returned = (F.col("__src") == F.col("__a")) & (F.col("__dst") == F.col("__b")) & (F.col("__h") == F.col("__k"))
+    sources = inside.join(back, returned, "left_anti").select("__src", "__h").distinct()
     return (
-        sources.join(nodes, (F.col("__src") == F.col(node_id)) & (F.col("__g") == F.col(group)))
+        sources.join(nodes, (F.col("__src") == F.col(node_id)) & (F.col("__h") == F.col(group)))
         .select(*out_cols)
         .distinct()
     )

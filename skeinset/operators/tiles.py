@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinset.functions.kernels import distances, strips, values
+from skeinset.session import cut_lineage
 
 BLOCK_DOUBLES = 8192
 
@@ -38,8 +39,9 @@ def pack(
     """One row per block: ``group, blk, n_blk``, ``x`` (vectors, flat) and one array per carried column.
 
     ``order`` names a column unique inside the group. Blocks list their rows in its order, so the
-    position of a row in its block is the same each time the block is computed. ``few_groups``
-    says that the groups are known to be few enough for one row each to be broadcast.
+    position of a row in its block does not depend on how it got there. ``few_groups`` says that
+    the groups are known to be few enough for one row each to be broadcast. Blocks are read more
+    than once by whoever asks for them, so they are written to the checkpoint folder.
     """
     sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("n_blk"))
     placed = df.join(F.broadcast(sizes) if few_groups else sizes, group).withColumn(
@@ -49,13 +51,14 @@ def pack(
     listed = placed.groupBy(group, "blk", "n_blk").agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias("items")
     )
-    return listed.select(
+    packed = listed.select(
         group,
         "blk",
         "n_blk",
         F.flatten(F.col(f"items.{vector}")).alias("x"),
         *[F.col(f"items.{c}").alias(c) for c in carried],
     )
+    return cut_lineage(packed)
 
 
 def _spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -41,7 +41,7 @@ _MERGES = pa.schema(
 _MEANS = pa.schema([*CENTROID_SCHEMA, ("n", pa.int64())])
 PRE_ROUNDS = 5
 DRIVER_PAIRS = 512
-ROWS_PER_TASK = 4096
+CELLS_PER_TASK = 20_000_000
 
 
 @dataclass
@@ -154,7 +154,7 @@ def _merge_rounds(
     if not n:
         raise ValueError("no points given")
     if n * size <= local_doubles:
-        weighted = weighted.coalesce(1 + n // ROWS_PER_TASK)
+        weighted = weighted.coalesce(1 + n * n * size // CELLS_PER_TASK)
         start = sorted(list(r["c"]) for r in weighted.select("c").collect())
         centres = Centroids.local(spark, list(enumerate(start)))
     else:

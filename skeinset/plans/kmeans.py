@@ -83,13 +83,9 @@ def cluster_means(
     """``cid, c, n``: the mean of the points nearest to each centroid that has any."""
     near = with_nearest(points, centroids, features)
     heft = "1" if weight is None else f"`{weight}`"
-    sums = [
-        f"sum({c if weight is None else f'{c} * {heft}'}) as __s{i}"
-        for i, c in enumerate(coordinates(features, centroids.size))
-    ]
-    grouped = near.groupBy("cid").agg(*[F.expr(e) for e in [*sums, f"cast(sum({heft}) as bigint) as n"]])
-    means = ", ".join(f"__s{i} / n" for i in range(centroids.size))
-    return grouped.selectExpr("cid", f"array({means}) as c", "n")
+    each = coordinates(features, centroids.size)
+    means = ", ".join(f"sum({c if weight is None else f'{c} * {heft}'}) / sum({heft})" for c in each)
+    return near.groupBy("cid").agg(F.expr(f"array({means}) as c"), F.expr(f"cast(sum({heft}) as bigint) as n"))
 
 
 def kmeans_step(points: DataFrame, centroids: DataFrame, features: Features, empty: str = "drop") -> DataFrame:

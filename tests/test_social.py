@@ -102,3 +102,10 @@ def test_hot_key_and_partitioning_do_not_change_results(spark, pages):
         expected[page] = expected.get(page, 0) + 1
     for parts in (1, 7, 64):
         assert dict(got(social.count_by(log.repartition(parts), "page", "log"))) == expected
+
+
+def test_mean_shares_the_grouped_rows(spark, pages, tmp_path):
+    facts(spark, [(i, 9, i % 3 + 1, 1) for i in range(100)]).write.parquet(str(tmp_path / "log"))
+    out = social.above_average(spark.read.parquet(str(tmp_path / "log")), "page", pages, "id", ["nick"], "log")
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
