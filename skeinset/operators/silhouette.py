@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from skeinset.functions.vectors import Features, as_vector, silhouette_score
 from skeinset.operators import tiles
 from skeinset.operators.nearest import Centroids, with_nearest
+from skeinset.session import cut_lineage
 
 
 def silhouette(
@@ -59,12 +60,14 @@ def _pairwise(points: DataFrame, centres: Centroids, features: Features) -> Data
 
     Equal points do not count as neighbours of one another, so a point's mean is the weighted sum
     over distinct points divided by the weight of the others. Collapsing equal points first is
-    exact, and takes away any point value that holds a large share of the rows.
+    exact, and takes away any point value that holds a large share of the rows. The distinct
+    points are read for block sizes, blocks and weights, so they are written out once.
     """
     distinct = points.select(as_vector(features).alias("__v")).groupBy("__v").agg(F.count(F.lit(1)).alias("n"))
     near = with_nearest(distinct, _by_value(centres), "__v", second=True).select(
         "__v", F.col("n").cast("double").alias("n"), "cid", F.coalesce("second", F.lit(0.0)).alias("b")
     )
+    near = cut_lineage(near)
     few = centres.rows is not None
     blocks = tiles.pack(near, "cid", "__v", "__v", ["__v", "n", "b"], tiles.block_rows(centres.size), few)
     sums = tiles.weighted_distance_sums(tiles.own_tiles(blocks, "cid", ["n"]), centres.size)

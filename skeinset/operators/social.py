@@ -84,12 +84,19 @@ def above_average(
 ) -> DataFrame:
     """``owner, out_cols, n`` of entities counted strictly more often than the mean entity.
 
-    The mean runs over the keys that occur. It is a scalar subquery over the same grouped rows,
-    whose shuffle Spark runs once.
+    The mean runs over the keys that occur, null among them. Rows with a null key are counted on
+    their own: a scan that statistics cut to nothing where there are none. What is left of the
+    mean is a scalar subquery over the very grouped rows the join reads, so Spark shuffles the
+    facts once.
     """
-    counts = count_by(facts, key, first_field, n).withColumnRenamed(key, owner)
-    mean = counts.agg(F.avg(n)).scalar()
-    kept = counts.filter(F.col(n) > mean)
+    keyed = facts.filter(F.col(key).isNotNull())
+    counts = count_by(keyed, key, first_field, n).withColumnRenamed(key, owner)
+    counted = F.count(F.col(first_field) if first_field else F.lit(1))
+    unkeyed = facts.filter(F.col(key).isNull()).agg(F.struct(counted.alias("n"), F.count(F.lit(1)).alias("rows")))
+    grouped = counts.agg(F.struct(F.sum(n).alias("n"), F.count(F.lit(1)).alias("keys")))
+    both, none = grouped.scalar(), unkeyed.scalar()
+    keys = both["keys"] + F.when(none["rows"] > 0, F.lit(1)).otherwise(F.lit(0))
+    kept = counts.filter(F.col(n) > F.try_divide(both["n"] + none["n"], keys))
     return kept.join(dim, F.col(owner) == F.col(dim_key)).select(owner, *out_cols, n)
 
 
