@@ -137,6 +137,15 @@ def kmeans_one_step(spark, sf):
     return _flat(km.kmeans_step(_read(spark, sf, "lineitem"), _seeds(spark), MEASURES), "n")
 
 
+def kmeans_manhattan(spark, sf):
+    return _flat(km.kmeans_step(_read(spark, sf, "lineitem"), _seeds(spark), MEASURES, p=1), "n")
+
+
+def kmeans_lloyd(spark, sf):
+    fit = km.lloyd(_read(spark, sf, "embeddings"), "embedding", "vec_id", VECTOR_SEEDS, seed=VECTOR_SEED)
+    return _flat(fit.centroids, "n", "converged", F.lit(fit.n_iter).alias("n_iter"), digits=5)
+
+
 def kmeans_keep_empty(spark, sf):
     seeds = _seeds(spark, [*SEEDS, FAR_SEED])
     return _flat(km.kmeans_step(_read(spark, sf, "lineitem"), seeds, MEASURES, empty="keep"), "n")
@@ -335,6 +344,8 @@ _QUERIES = [
     inactive_entities,
     one_way_same_region,
     kmeans_one_step,
+    kmeans_manhattan,
+    kmeans_lloyd,
     kmeans_keep_empty,
     kmeans_fixed_rounds,
     kmeans_converged,
@@ -374,7 +385,9 @@ def _rows_sql(rows) -> str:
     return ", ".join(f"({i}::BIGINT, [{', '.join(f'{v!r}::DOUBLE' for v in r)}])" for i, r in enumerate(rows))
 
 
-def _dist(a: str, b: str, size: int) -> str:
+def _dist(a: str, b: str, size: int, p: int = 2) -> str:
+    if p == 1:
+        return " + ".join(f"abs({a}[{i}]-{b}[{i}])" for i in range(1, size + 1))
     terms = " + ".join(f"({a}[{i}]-{b}[{i}])*({a}[{i}]-{b}[{i}])" for i in range(1, size + 1))
     return f"sqrt({terms})"
 
@@ -385,10 +398,10 @@ def _mean(size: int, weight: str = "") -> str:
     return ", ".join(f"sum(v[{i}])/count(*)" for i in range(1, size + 1))
 
 
-def _nearest_sql(points: str, centres: str, size: int, keep: str = "") -> str:
+def _nearest_sql(points: str, centres: str, size: int, p: int = 2) -> str:
     """Points with ``cid`` and ``dist``; ``centres`` has cid, c."""
     return f"""SELECT p.*, near.cid AS cid, near.d AS dist FROM (
-        SELECT p.*, list_min(list_transform(s.cs, lambda x: {{'d': {_dist('p.v', 'x.c', size)}, 'cid': x.cid}})) AS near
+        SELECT p.*, list_min(list_transform(s.cs, lambda x: {{'d': {_dist('p.v', 'x.c', size, p)}, 'cid': x.cid}})) AS near
         FROM {points} p, (SELECT list({{'cid': cid, 'c': c}}) AS cs FROM {centres}) s) p"""
 
 
@@ -509,6 +522,9 @@ def oracle_sql() -> dict[str, str]:
     keep = f"""SELECT {_flat_sql('n')} FROM (SELECT s.cid, coalesce(g.c, s.c) AS c, coalesce(g.n, 0) AS n
         FROM ({far_seeds}) s LEFT JOIN (SELECT cid, [{_mean(4)}] AS c, count(*) AS n FROM (
         {_nearest_sql(f'({_LINE_POINTS})', f'({far_seeds})', 4)}) GROUP BY cid) g ON g.cid = s.cid)"""
+    manhattan = f"""SELECT {_flat_sql('n')} FROM (SELECT cid, [{_mean(4)}] AS c, count(*) AS n FROM (
+        {_nearest_sql(f'({_LINE_POINTS})', f'({line_seeds})', 4, 1)}) GROUP BY cid)"""
+    lloyd = _kmeans_sql(_EMB_POINTS, _EMB_SEEDS, 64, 30, "aligned", 0.0001)
     emb_fit = _kmeans_sql(_EMB_POINTS, _EMB_SEEDS, 64, 3, "nearest", 0.0001)
     return {
         "count_per_category": "SELECT c_mktsegment, count(c_custkey) AS access_count FROM customer GROUP BY 1",
@@ -535,6 +551,10 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN edges r ON r.src = e.dst AND r.dst = e.src
             WHERE r.src IS NULL AND a.c_nationkey = b.c_nationkey""",
         "kmeans_one_step": step,
+        "kmeans_manhattan": manhattan,
+        "kmeans_lloyd": f"WITH RECURSIVE {lloyd} SELECT "
+        + _flat_sql("n", "done AS converged", "it::INT AS n_iter", digits=5)
+        + f" FROM k {_LAST}",
         "kmeans_keep_empty": keep,
         "kmeans_fixed_rounds": _line_fit(f"SELECT {_flat_sql('n')} FROM k {_LAST}", stop=None),
         "kmeans_converged": _line_fit(f"SELECT {_flat_sql('n', 'done AS converged')} FROM k {_LAST}"),

@@ -17,15 +17,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STRIP_CELLS = 50_000
 
 
-def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances, summed coordinate by coordinate as the column form does."""
+def distances(x: np.ndarray, y: np.ndarray, p: float = 2) -> np.ndarray:
+    """Distances of order ``p``, summed coordinate by coordinate as the column form does."""
     total = np.zeros((len(x), len(y)))
     gap = np.empty_like(total)
     for a, b in zip(np.ascontiguousarray(x.T)[:, :, None], np.ascontiguousarray(y.T)):
         np.subtract(a, b, out=gap)
-        np.multiply(gap, gap, out=gap)
+        if p == 2:
+            np.multiply(gap, gap, out=gap)
+        else:
+            np.power(np.abs(gap, out=gap), p, out=gap)
         total += gap
-    return np.sqrt(total, out=total)
+    return np.sqrt(total, out=total) if p == 2 else np.power(total, 1.0 / p, out=total)
 
 
 def strips(x: np.ndarray, width: int) -> Iterator[slice]:

@@ -59,25 +59,35 @@ class Centroids:
         return Centroids(local_table(spark, rows, CENTROID_SCHEMA), len(rows[0][1]), rows)
 
 
-def assign(points: DataFrame, centroids: DataFrame, features: Features) -> DataFrame:
-    """``points`` with ``cid`` and ``dist`` of the nearest centroid; equal distances take the lowest cid."""
-    return with_nearest(points, Centroids.of(centroids), features)
+def assign(points: DataFrame, centroids: DataFrame, features: Features, p: float = 2) -> DataFrame:
+    """``points`` with ``cid`` and ``dist`` of the nearest centroid; equal distances take the lowest cid.
+
+    ``p`` is the order of the distance, 2 being the Euclidean one.
+    """
+    return with_nearest(points, Centroids.of(centroids), features, p=p)
 
 
-def with_nearest(points: DataFrame, centroids: Centroids, features: Features, second: bool = False) -> DataFrame:
+def with_nearest(
+    points: DataFrame, centroids: Centroids, features: Features, second: bool = False, p: float = 2
+) -> DataFrame:
     """``points`` with ``cid, dist`` and, if asked, ``second``: the distance to the next nearest centroid.
 
     ``second`` is null where there is only one centroid. Points must have all coordinates; one
     that lacks any is an error.
     """
+    taken = {"cid", "dist", "second"}.intersection(points.columns)
+    if taken:
+        raise ValueError(f"points already have columns named {sorted(taken)}")
     if centroids.rows is None:
-        return _by_tiles(points, centroids, features, second)
+        return _by_tiles(points, centroids, features, second, p)
     if len(centroids.rows) * centroids.size <= INLINE_DOUBLES:
-        return _inline(points, centroids, features, second)
-    return _batched(points, centroids, features, second)
+        return _inline(points, centroids, features, second, p)
+    return _batched(points, centroids, features, second, p)
 
 
-def _inline(points: DataFrame, centroids: Centroids, features: Features, second: bool) -> DataFrame:
+def _inline(
+    points: DataFrame, centroids: Centroids, features: Features, second: bool, p: float
+) -> DataFrame:
     # The coordinates come as a scalar subquery over a local table and not as literals: the code
     # generated for a round is then the same text as for the one before, and is compiled once.
     # NaN in place of null keeps the arithmetic free of null tests; it is caught at the end.
@@ -89,7 +99,11 @@ def _inline(points: DataFrame, centroids: Centroids, features: Features, second:
     found = []
     for j in range(len(centroids.rows)):
         gaps = [f"(__f{i} - coalesce(get(__m, {j * size + i}), double('NaN')))" for i in range(size)]
-        found.append(f"sqrt({' + '.join(f'{g} * {g}' for g in gaps)})")
+        if p == 2:
+            found.append(f"sqrt({' + '.join(f'{g} * {g}' for g in gaps)})")
+        else:
+            powers = " + ".join(f"power(abs{g}, {float(p)!r}D)" for g in gaps)
+            found.append(f"power({powers}, {1.0 / p!r}D)")
     cids = [cid for cid, _ in centroids.rows]
     cid = "array_position(__d, __near) - 1"
     if cids != list(range(len(cids))):
@@ -110,7 +124,9 @@ def _never_null(cid: str) -> str:
     return f"coalesce({cid}, -1L) as cid"
 
 
-def _batched(points: DataFrame, centroids: Centroids, features: Features, second: bool) -> DataFrame:
+def _batched(
+    points: DataFrame, centroids: Centroids, features: Features, second: bool, p: float
+) -> DataFrame:
     cids = np.array([cid for cid, _ in centroids.rows], dtype="int64")
     table = np.array([c for _, c in centroids.rows], dtype="float64")
     size = centroids.size
@@ -124,7 +140,7 @@ def _batched(points: DataFrame, centroids: Centroids, features: Features, second
         cid = np.empty(len(x), dtype="int64")
         near, after = np.empty(len(x)), np.full(len(x), np.inf)
         for s in strips(x, len(table)):
-            d = distances(x[s], table)
+            d = distances(x[s], table, p)
             at, best = np.arange(len(d)), d.argmin(axis=1)
             cid[s], near[s] = cids[best], d[at, best]
             if second and len(table) > 1:
@@ -143,7 +159,9 @@ def _batched(points: DataFrame, centroids: Centroids, features: Features, second
     )
 
 
-def _by_tiles(points: DataFrame, centroids: Centroids, features: Features, second: bool) -> DataFrame:
+def _by_tiles(
+    points: DataFrame, centroids: Centroids, features: Features, second: bool, p: float
+) -> DataFrame:
     rows = tiles.block_rows(centroids.size)
     keyed = points.withColumn("__v", as_vector(features))
     distinct = keyed.select("__v").distinct().withColumn("g", F.lit(0).cast("bigint"))
@@ -152,7 +170,7 @@ def _by_tiles(points: DataFrame, centroids: Centroids, features: Features, secon
         centroids.df.withColumn("g", F.lit(0).cast("bigint")), "g", "c", "cid", ["cid"], rows
     )
     met = tiles.cross_tiles(point_blocks, centre_blocks, [], ["cid"])
-    near = tiles.nearest_two(met, centroids.size)
+    near = tiles.nearest_two(met, centroids.size, p)
     listed = point_blocks.select("blk", F.posexplode("__v").alias("pos", "__v"))
     answer = listed.join(near, ["blk", "pos"]).select("__v", "cid", "dist", *(["second"] if second else []))
     return keyed.join(answer, "__v").drop("__v")

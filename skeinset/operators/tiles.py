@@ -192,7 +192,7 @@ def closest_pair(tiles: DataFrame, size: int) -> DataFrame:
     )
 
 
-def nearest_two(tiles: DataFrame, size: int) -> DataFrame:
+def nearest_two(tiles: DataFrame, size: int, p: float = 2) -> DataFrame:
     """``blk, pos, cid, dist, second``: nearest centroid of each point over all centroid blocks.
 
     Each tile gives its two best per point, so the lists merged here hold two entries per block
@@ -208,7 +208,7 @@ def nearest_two(tiles: DataFrame, size: int) -> DataFrame:
                 cids = values(batch, "cid_r", r)
                 blk = batch.column("i")[r].as_py()
                 for s in strips(x, len(y)):
-                    d = distances(x[s], y)
+                    d = distances(x[s], y, p)
                     at = np.arange(len(d))
                     for _ in range(min(2, len(y))):
                         a = d.argmin(axis=1)

@@ -25,6 +25,7 @@ from skeinset.functions.kernels import distances, strips
 from skeinset.functions.vectors import Features, as_vector, format_vector, midpoint
 from skeinset.operators import tiles
 from skeinset.operators.nearest import CENTROID_SCHEMA, LOCAL_DOUBLES, Centroids, local_table
+from skeinset.operators.ranks import number_rows
 from skeinset.plans.kmeans import cluster_means, kmeans, random_seeds
 from skeinset.session import cut_lineage
 
@@ -128,24 +129,6 @@ def _condense(vectors: DataFrame, distinct: DataFrame, pre_k: int, seed: int) ->
     return kmeans(vectors, seeds, "c", max_iter=PRE_ROUNDS, stop=None).centroids.select("c", "n")
 
 
-def _numbered(vectors: DataFrame) -> DataFrame:
-    """``cid, c`` with dense numbers in the order of the vectors.
-
-    A range-partitioned sort gives each row a rank inside its partition; the partitions' row
-    counts, one number each, turn those into overall ranks.
-    """
-    ranked = cut_lineage(vectors.orderBy("c").withColumn("at", F.monotonically_increasing_id()))
-    part, rank = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = {r["part"]: r["n"] for r in ranked.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, total = [], 0
-    for p in sorted(counts):
-        starts.append((p, total))
-        total += counts[p]
-    schema = pa.schema([("part", pa.int64()), ("start", pa.int64())])
-    offsets = local_table(vectors.sparkSession, starts, schema)
-    return ranked.withColumn("part", part).join(F.broadcast(offsets), "part").select((F.col("start") + rank).alias("cid"), "c")
-
-
 def _merge_rounds(
     weighted: DataFrame, target_k: int, max_rounds: int | None, local_doubles: int
 ) -> AgglomerateResult:
@@ -158,7 +141,7 @@ def _merge_rounds(
         start = sorted(list(r["c"]) for r in weighted.select("c").collect())
         centres = Centroids.local(spark, list(enumerate(start)))
     else:
-        centres = Centroids(_numbered(weighted.select("c")), size, None)
+        centres = Centroids(number_rows(weighted.select("c"), ["c"], "cid").select("cid", "c"), size, None)
     merges, left, fresh = [], n, n
     while left > target_k and (max_rounds is None or len(merges) < max_rounds):
         centres, left = _means(weighted, centres, left, local_doubles)

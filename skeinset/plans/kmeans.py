@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from skeinset.functions.vectors import Features, as_vector, coordinates, euclidean
+from skeinset.functions.vectors import Features, as_vector, coordinates, minkowski
+from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, local_table, with_nearest
+from skeinset.operators.ranks import number_rows
 from skeinset.session import cut_lineage
 
 _VECTOR = pa.list_(pa.float64())
@@ -46,11 +48,12 @@ class KMeansResult:
     history: DataFrame
     n_iter: int
     converged: bool
+    p: float = 2
 
     @property
     def assignments(self) -> DataFrame:
         """All points with the ``cid`` and ``dist`` of their centroid."""
-        return with_nearest(self.points, Centroids.of(self.centroids), self.features)
+        return with_nearest(self.points, Centroids.of(self.centroids), self.features, p=self.p)
 
     @property
     def report(self) -> DataFrame:
@@ -62,45 +65,49 @@ class KMeansResult:
 def random_seeds(points: DataFrame, k: int, id_col: str, features: Features, seed: int = 0) -> DataFrame:
     """``cid, c``: ``k`` points drawn uniformly by a hash of their id, numbered in id order.
 
-    Each task keeps its ``k`` lowest hashes; nothing is shuffled but those.
+    Each task keeps its ``k`` lowest hashes; nothing is shuffled but those. Only a ``k`` too large
+    for the driver takes a sort of all points.
     """
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-    drawn = (
-        points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), draw.alias("__draw"))
-        .orderBy("__draw", "__id")
-        .limit(k)
-        .collect()
-    )
-    if len(drawn) < k:
-        raise ValueError(f"{k} seeds asked of {len(drawn)} points")
-    ranked = sorted(drawn, key=lambda r: r["__id"])
-    return Centroids.local(points.sparkSession, [(i, r["c"]) for i, r in enumerate(ranked)]).df
+    pool = points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), draw.alias("__draw"))
+    first = pool.select(F.size("c").alias("size")).head()
+    if first is not None and k * first["size"] > nearest.LOCAL_DOUBLES:
+        drawn = number_rows(pool, ["__draw", "__id"], "__rank").filter(F.col("__rank") < k)
+        return number_rows(drawn.select("__id", "c"), ["__id"], "cid").select("cid", "c")
+    rows = sorted(pool.orderBy("__draw", "__id").limit(k).collect(), key=lambda r: r["__id"])
+    if len(rows) < k:
+        raise ValueError(f"{k} seeds asked of {len(rows)} points")
+    return Centroids.local(points.sparkSession, [(i, r["c"]) for i, r in enumerate(rows)]).df
 
 
 def cluster_means(
-    points: DataFrame, centroids: Centroids, features: Features, weight: str | None = None
+    points: DataFrame, centroids: Centroids, features: Features, weight: str | None = None, p: float = 2
 ) -> DataFrame:
     """``cid, c, n``: the mean of the points nearest to each centroid that has any."""
-    near = with_nearest(points, centroids, features)
+    near = with_nearest(points, centroids, features, p=p)
     heft = "1" if weight is None else f"`{weight}`"
     each = coordinates(features, centroids.size)
     means = ", ".join(f"sum({c if weight is None else f'{c} * {heft}'}) / sum({heft})" for c in each)
     return near.groupBy("cid").agg(F.expr(f"array({means}) as c"), F.expr(f"cast(sum({heft}) as bigint) as n"))
 
 
-def kmeans_step(points: DataFrame, centroids: DataFrame, features: Features, empty: str = "drop") -> DataFrame:
+def kmeans_step(
+    points: DataFrame, centroids: DataFrame, features: Features, empty: str = "drop", p: float = 2
+) -> DataFrame:
     """One round: ``cid, c, n``."""
     centres = Centroids.of(centroids)
-    return _round(points, centres, features, None, empty).select("cid", "c", "n")
+    return _round(points, centres, features, None, empty, p).select("cid", "c", "n")
 
 
-def _round(points: DataFrame, old: Centroids, features: Features, stop: str | None, empty: str) -> DataFrame:
+def _round(
+    points: DataFrame, old: Centroids, features: Features, stop: str | None, empty: str, p: float = 2
+) -> DataFrame:
     """``cid, c, n, prev, shift``. The shift is taken from the nearest old centroid or the own one."""
     if empty not in ("drop", "keep"):
         raise ValueError(f"unknown treatment of empty clusters {empty!r}")
     if stop not in ("nearest", "aligned", None):
         raise ValueError(f"unknown stop rule {stop!r}")
-    means = cluster_means(points, old, features)
+    means = cluster_means(points, old, features, p=p)
     before = old.df.withColumnRenamed("c", "prev")
     if empty == "keep":
         moved = before.join(means, "cid", "left").selectExpr(
@@ -109,10 +116,10 @@ def _round(points: DataFrame, old: Centroids, features: Features, stop: str | No
     else:
         moved = means.join(before, "cid")
     if stop == "nearest":
-        return with_nearest(moved.withColumnRenamed("cid", "__cid"), old, "c").selectExpr(
+        return with_nearest(moved.withColumnRenamed("cid", "__cid"), old, "c", p=p).selectExpr(
             "__cid as cid", "c", "n", "prev", "dist as shift"
         )
-    return moved.withColumn("shift", euclidean("c", "prev"))
+    return moved.withColumn("shift", minkowski("c", "prev", p))
 
 
 def kmeans(
@@ -125,12 +132,13 @@ def kmeans(
     empty: str = "drop",
     cache: bool = False,
     local_doubles: int | None = None,
+    p: float = 2,
 ) -> KMeansResult:
     """Rounds until every shift is at most ``threshold``, ``max_iter`` at most.
 
     ``stop='nearest'`` measures a centroid against the nearest of the former ones, ``'aligned'``
     against its own predecessor, ``None`` runs all rounds. ``empty='drop'`` lets a centroid
-    without points go, ``'keep'`` leaves it in place. A round re-reads the feature columns only;
+    without points go, ``'keep'`` leaves it in place. ``p`` is the order of the distance. A round re-reads the feature columns only;
     ``cache=True`` pays off where the points are costly to derive.
     """
     if max_iter < 1:
@@ -144,7 +152,7 @@ def kmeans(
     converged = False
     try:
         for iteration in range(max_iter):
-            moved = _round(used, current, features, stop, empty)
+            moved = _round(used, current, features, stop, empty, p)
             if current.rows is not None:
                 rows = moved.collect()
                 largest = max((r["shift"] for r in rows), default=0.0)
@@ -166,4 +174,19 @@ def kmeans(
             used.unpersist()
     history = reduce(DataFrame.unionByName, tables) if tables else local_table(spark, records, _HISTORY)
     centroids = last.select("cid", "c", "n", F.lit(converged).alias("converged"))
-    return KMeansResult(points, features, centroids, history, iteration + 1, converged)
+    return KMeansResult(points, features, centroids, history, iteration + 1, converged, p)
+
+
+def lloyd(
+    points: DataFrame,
+    features: Features,
+    id_col: str,
+    k: int = 3,
+    threshold: float = 0.0001,
+    max_iter: int = 30,
+    seed: int = 0,
+    p: float = 2,
+) -> KMeansResult:
+    """K-means from random seeds until no centroid moves by more than ``threshold``."""
+    seeds = random_seeds(points, k, id_col, features, seed)
+    return kmeans(points, seeds, features, max_iter, threshold, stop="aligned", p=p)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from skeinset.functions import vectors
 from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, assign, local_table, with_nearest
+from skeinset.operators.ranks import number_rows
 from skeinset.operators.silhouette import silhouette
 from skeinset.plans.agglomerate import agglomerate, closest_pair
-from skeinset.plans.kmeans import kmeans, kmeans_step, random_seeds
+from skeinset.plans.kmeans import kmeans, kmeans_step, lloyd, random_seeds
 
 
 def cloud(n, size=4, seed=1, top=9):
@@ -121,18 +122,58 @@ def test_threshold_is_inclusive(spark):
     assert not kmeans(df, seeds, "f", max_iter=1, threshold=1999.0).converged
 
 
-def test_stop_rules_differ_when_centroids_trade_places(spark):
-    df = points_of(spark, [(0,), (0,), (14,), (14,), (14,)])
-    seeds = seeds_of(spark, [(8,), (0,)])
-    near = kmeans(df, seeds, "f", max_iter=1, threshold=6.0, stop="nearest")
-    assert near.converged
-    far = kmeans(points_of(spark, [(4,), (20,)]), seeds_of(spark, [(0,), (4,)]), "f", max_iter=1, threshold=1.0)
-    assert not far.converged
-    moved = points_of(spark, [(0,), (9,), (9,), (9,), (10,)])
-    start = seeds_of(spark, [(1,), (4,)])
-    by_near = kmeans(moved, start, "f", max_iter=1, threshold=5.3, stop="nearest")
-    by_own = kmeans(moved, start, "f", max_iter=1, threshold=5.2, stop="aligned")
-    assert by_near.converged and not by_own.converged
+@pytest.mark.parametrize("stop", ["nearest", "aligned"])
+def test_shifts_follow_the_stop_rule(spark, stop):
+    old = [1.0, 10.0, 10.5]
+    df, seeds = points_of(spark, [(3,), (5,), (3.5,), (4.5,), (6,)]), seeds_of(spark, [(v,) for v in old])
+    history = kmeans(df, seeds, "f", max_iter=1, threshold=3.0, stop=stop).history.collect()
+    assert {h["cid"]: h["c"] for h in history} == {0: [4.0], 1: [6.0]}
+    for h in history:
+        own = abs(h["c"][0] - old[h["cid"]])
+        assert h["shift"] == (own if stop == "aligned" else min(abs(h["c"][0] - o) for o in old))
+        assert h["prev"] == [old[h["cid"]]]
+
+
+def test_nearest_rule_looks_at_all_old_centroids(spark):
+    # With distances of order 1 a mean may leave its cell, so the nearest old centroid is another.
+    rows, old = [(0, 0), (0, 6), (10, 0), (1, 1)], [(3, 3), (9, 5)]
+    for stop in ("nearest", "aligned"):
+        fit = kmeans(points_of(spark, rows), seeds_of(spark, old), "f", max_iter=1, stop=stop, p=1)
+        for h in fit.history.collect():
+            gaps = [sum(abs(x - y) for x, y in zip(h["c"], o)) for o in old]
+            assert h["shift"] == pytest.approx(min(gaps) if stop == "nearest" else gaps[h["cid"]])
+
+
+def test_other_orders_of_distance(spark, way):
+    rows, centres = cloud(60, 3), dict(enumerate(cloud(4, 3, seed=2)))
+    out = assign(points_of(spark, rows), seeds_of(spark, centres.values()), "f", p=1).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        sums = {i: sum(abs(x - y) for x, y in zip(rows[r["id"]], c)) for i, c in centres.items()}
+        assert (r["dist"], r["cid"]) == min((d, i) for i, d in sums.items())
+
+
+def test_lloyd_ends_at_a_fixed_point(spark):
+    rows = cloud(80, 2, top=60)
+    fit = lloyd(points_of(spark, rows), "f", "id", k=3, seed=2)
+    centres = {r["cid"]: r["c"] for r in fit.centroids.collect()}
+    assert fit.converged and fit.n_iter <= 30
+    for cid, c in brute.step(rows, centres).items():
+        assert c == pytest.approx(centres[cid], abs=1e-3)
+
+
+def test_number_rows(spark):
+    df = spark.range(500).selectExpr("id * 37 % 500 as v").repartition(7)
+    out = number_rows(df, ["v"], "rank")
+    assert out.columns == ["v", "rank"]
+    assert sorted(map(tuple, out.collect())) == [(i, i) for i in range(500)]
+
+
+def test_many_random_seeds(spark, monkeypatch):
+    df = points_of(spark, cloud(60, 2))
+    few = sorted(map(tuple, random_seeds(df, 20, "id", "f", 3).collect()))
+    monkeypatch.setattr(nearest, "LOCAL_DOUBLES", 0)
+    assert sorted(map(tuple, random_seeds(df, 20, "id", "f", 3).collect())) == few
 
 
 def test_sum_of_squares_never_rises(spark):
