@@ -170,7 +170,7 @@ def _by_tiles(
         centroids.df.withColumn("g", F.lit(0).cast("bigint")), "g", "c", "cid", ["cid"], rows
     )
     met = tiles.cross_tiles(point_blocks, centre_blocks, [], ["cid"])
-    near = tiles.nearest_two(met, centroids.size, p)
+    near = tiles.nearest_of_all(met, centroids.size, second, p)
     listed = point_blocks.select("blk", F.posexplode("__v").alias("pos", "__v"))
     answer = listed.join(near, ["blk", "pos"]).select("__v", "cid", "dist", *(["second"] if second else []))
     return keyed.join(answer, "__v").drop("__v")

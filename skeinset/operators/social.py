@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 100_000
+
 
 def count_by(facts: DataFrame, key: str, first_field: str | None = None, n: str = "n") -> DataFrame:
     """``key, n``: rows per key, skipping rows whose ``first_field`` is null."""
@@ -31,11 +33,15 @@ def top_by_count(
 ) -> DataFrame:
     """``out_cols`` of the ``n`` entities with most facts; equal counts go by ``dim_key``.
 
-    The inner join may drop keys unknown to ``dim``, so the limit follows it. Sort and limit
-    together become one bounded heap per task.
+    Keys unknown to ``dim`` drop out before the limit, for which its ids alone are shuffled. The
+    columns asked for are then fetched for the ``n`` keys left. Sort and limit together become one
+    bounded heap per task.
     """
     counts = count_by(facts, key, first_field, n="__n").withColumnRenamed(key, "__key")
-    joined = counts.join(dim, F.col("__key") == F.col(dim_key))
+    ids = dim.select(F.col(dim_key).alias("__id"))
+    known = counts.join(ids, F.col("__key") == F.col("__id"), "left_semi")
+    top = known.orderBy(F.desc("__n"), F.asc("__key")).limit(n)
+    joined = dim.join(F.broadcast(top) if n <= BROADCAST_KEYS else top, F.col("__key") == F.col(dim_key))
     return joined.orderBy(F.desc("__n"), F.asc(dim_key)).limit(n).select(*out_cols)
 
 

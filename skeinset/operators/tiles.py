@@ -192,12 +192,13 @@ def closest_pair(tiles: DataFrame, size: int) -> DataFrame:
     )
 
 
-def nearest_two(tiles: DataFrame, size: int, p: float = 2) -> DataFrame:
-    """``blk, pos, cid, dist, second``: nearest centroid of each point over all centroid blocks.
+def nearest_of_all(tiles: DataFrame, size: int, second: bool, p: float = 2) -> DataFrame:
+    """``blk, pos, cid, dist``: nearest centroid of each point over all centroid blocks.
 
-    Each tile gives its two best per point, so the lists merged here hold two entries per block
-    of centroids.
+    With ``second`` the next smallest distance comes too. Each tile then gives its two best per
+    point, and the lists merged here hold two entries per block of centroids.
     """
+    places = 2 if second else 1
 
     def run(batches):
         for batch in batches:
@@ -210,7 +211,7 @@ def nearest_two(tiles: DataFrame, size: int, p: float = 2) -> DataFrame:
                 for s in strips(x, len(y)):
                     d = distances(x[s], y, p)
                     at = np.arange(len(d))
-                    for _ in range(min(2, len(y))):
+                    for _ in range(min(places, len(y))):
                         a = d.argmin(axis=1)
                         out["blk"].append(np.full(len(d), blk))
                         out["pos"].append(at + s.start)
@@ -229,6 +230,9 @@ def nearest_two(tiles: DataFrame, size: int, p: float = 2) -> DataFrame:
             )
 
     partial = tiles.mapInArrow(run, "blk bigint, pos int, cid bigint, dist double")
+    if not second:
+        best = partial.groupBy("blk", "pos").agg(F.min(F.struct("dist", "cid")).alias("near"))
+        return best.select("blk", "pos", "near.cid", "near.dist")
     ranked = partial.groupBy("blk", "pos").agg(
         F.sort_array(F.collect_list(F.struct("dist", "cid"))).alias("near")
     )

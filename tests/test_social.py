@@ -38,6 +38,13 @@ def test_top_by_count_breaks_ties_by_id_and_drops_unknown(spark, pages):
     assert [tuple(r) for r in top.collect()] == [(2, "bob", "cook"), (3, "cid", "smith")]
 
 
+def test_top_by_count_with_repeated_ids(spark):
+    dim = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "id int, nick string")
+    log = facts(spark, [(1, 9, 1, 1), (2, 9, 1, 1), (3, 9, 2, 1)])
+    assert got(social.top_by_count(log, "page", dim, "id", ["id", "nick"], 2, "log")) == [(1, "x"), (1, "y")]
+    assert social.top_by_count(log, "page", dim, "id", ["id", "nick"], 3, "log").count() == 3
+
+
 def test_count_with_details_is_inner(spark, pages):
     log = facts(spark, [(1, 9, 2, 1), (2, 9, 2, 1), (3, 9, None, 1)])
     assert got(social.count_with_details(log, "page", pages, "id", "log")) == [(2, 2, 2, "bob", "cook", 1, "hockey")]
