@@ -22,6 +22,7 @@ from skeinset.operators import knn as knn_ops  # noqa: E402
 from skeinset.operators import nearest, silhouette, social  # noqa: E402
 from skeinset.plans import agglomerate as hc  # noqa: E402
 from skeinset.plans import kmeans as km  # noqa: E402
+from skeinset.sources import schemas, sinks, text  # noqa: E402
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SEEDS = [
@@ -312,6 +313,21 @@ def knn_one_per_distance(spark, sf):
     )
 
 
+# --- text formats ----------------------------------------------------------------------------
+
+
+def text_pages(spark, sf):
+    rows = _read(spark, sf, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")), "c_acctbal", "c_mktsegment"
+    )
+    return text.parse_delimited(sinks.to_lines(rows), schemas.PAGES)
+
+
+def text_points(spark, sf):
+    parsed = text.parse_points(sinks.to_lines(_read(spark, sf, "lineitem").select(*MEASURES)))
+    return parsed.select(*[F.col("features")[i].alias(f"f{i}") for i in range(4)])
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
@@ -366,6 +382,8 @@ _QUERIES = [
     knn_classify,
     knn_neighbours,
     knn_one_per_distance,
+    text_pages,
+    text_points,
     vector_functions,
 ]
 
@@ -636,6 +654,10 @@ def oracle_sql() -> dict[str, str]:
             True,
             "SELECT query_id, rank, round(dist, 9) AS dist, l_orderkey, l_linenumber, label FROM near",
         ),
+        "text_pages": """SELECT c_custkey::INT AS id, c_name AS "userNickname",
+            CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "userJob", trunc(c_acctbal)::INT AS "userRegionCode",
+            c_mktsegment AS "userHobby" FROM customer""",
+        "text_points": "SELECT l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2, l_tax AS f3 FROM lineitem",
         "vector_functions": """SELECT vec_id,
             round(sqrt(list_sum([(x - 0.1::DOUBLE) * (x - 0.1::DOUBLE) for x in v])), 6) AS euclidean,
             round(list_sum([abs(x - 0.1::DOUBLE) for x in v]), 6) AS manhattan,

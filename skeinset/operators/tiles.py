@@ -61,9 +61,14 @@ def pack(
     return cut_lineage(packed)
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle by ``keys`` into a number of partitions that is kept, as tiles are heavy for their bytes."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+def _meet(left: DataFrame, right: DataFrame, keys: int) -> DataFrame:
+    """Join on ``g, j``, of which there are ``keys`` values, in a number of partitions that is kept.
+
+    Tiles are heavy for their bytes, so partitions must not be merged by size.
+    """
+    wanted = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(wanted, keys))
+    return left.repartition(parts, "g", "j").join(right.repartition(parts, "g", "j"), ["g", "j"])
 
 
 def own_tiles(blocks: DataFrame, group: str, carried: Sequence[str]) -> DataFrame:
@@ -89,7 +94,7 @@ def own_tiles(blocks: DataFrame, group: str, carried: Sequence[str]) -> DataFram
         F.col("x").alias("xr"),
         *[F.col(c).alias(f"{c}_r") for c in carried],
     )
-    return _spread(left, "g", "j").join(_spread(right, "g", "j"), ["g", "j"])
+    return _meet(left, right, blocks.count())
 
 
 def cross_tiles(left: DataFrame, right: DataFrame, left_carried: Sequence[str], right_carried: Sequence[str]) -> DataFrame:
@@ -105,7 +110,7 @@ def cross_tiles(left: DataFrame, right: DataFrame, left_carried: Sequence[str],
     met = right.select(
         "g", F.col("blk").alias("j"), F.col("x").alias("xr"), *[F.col(c).alias(f"{c}_r") for c in right_carried]
     )
-    return _spread(sent, "g", "j").join(_spread(met, "g", "j"), ["g", "j"])
+    return _meet(sent, met, right.count())
 
 
 def weighted_distance_sums(tiles: DataFrame, size: int) -> DataFrame:

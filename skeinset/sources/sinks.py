@@ -14,10 +14,14 @@ def _text(df: DataFrame, column: str, sep: str) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:
+    """``value``: one line per row, no quoting; nulls are empty fields."""
+    return df.select(F.concat_ws(sep, *[_text(df, c, sep) for c in df.columns]).alias("value"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", overwrite: bool = False) -> None:
-    """One line per row, no header, no quoting; nulls are empty fields."""
-    line = F.concat_ws(sep, *[_text(df, c, sep) for c in df.columns])
-    df.select(line).write.mode("overwrite" if overwrite else "error").text(path)
+    """The lines of ``to_lines`` as text files, without a header."""
+    to_lines(df, sep).write.mode("overwrite" if overwrite else "error").text(path)
 
 
 def write_keyed(df: DataFrame, path: str, key: str, value: str | None = None, overwrite: bool = False) -> None:

@@ -13,9 +13,10 @@ from skeinset.sources import schemas
 Schema = Sequence[tuple[str, str]]
 
 
-def read_delimited(spark: SparkSession, path: str, schema: Schema, sep: str = ",") -> DataFrame:
-    """Every separator splits; surplus fields are dropped; missing, empty or unreadable ones are null.
+def parse_delimited(lines: DataFrame, schema: Schema, sep: str = ",") -> DataFrame:
+    """The fields of the text column ``value``.
 
+    Every separator splits; surplus fields are dropped; missing, empty or unreadable ones are null.
     Whole numbers may be written with a fraction, which is cut off. A blank line is a row of nulls.
     """
     fields = F.split("value", f"\\Q{sep}\\E", -1)
@@ -28,10 +29,15 @@ def read_delimited(spark: SparkSession, path: str, schema: Schema, sep: str = ",
             return F.coalesce(F.trim(text).try_cast(kind), F.trim(text).try_cast("double").try_cast(kind))
         return F.trim(text).try_cast(kind)
 
-    split = spark.read.text(path).select(fields.alias("f"))
+    split = lines.select(fields.alias("f"))
     return split.select(*[field(i, kind).alias(name) for i, (name, kind) in enumerate(schema)])
 
 
+def read_delimited(spark: SparkSession, path: str, schema: Schema, sep: str = ",") -> DataFrame:
+    """A text file or folder, one row per line; see ``parse_delimited``."""
+    return parse_delimited(spark.read.text(path), schema, sep)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, schemas.PAGES)
 
@@ -54,10 +60,15 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, schemas.QUERY)
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
+def parse_points(lines: DataFrame) -> DataFrame:
     """``features``: one vector per line that is not blank. Text that is no number is an error."""
-    lines = spark.read.text(path).select(F.trim("value").alias("line")).filter(F.col("line") != "")
-    return lines.select(parse_vector("line").alias("features"))
+    kept = lines.select(F.trim("value").alias("line")).filter(F.col("line") != "")
+    return kept.select(parse_vector("line").alias("features"))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """Points of a text file or folder; see ``parse_points``."""
+    return parse_points(spark.read.text(path))
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
