@@ -295,3 +295,29 @@ def test_vector_functions(spark):
         vectors.nominal_distance(F.lit("x"), F.lit("x")),
     ).head()
     assert list(row) == [5.0, 7.0, 5.0, [2.0, 1.5], [1.0, 2.5], "0.0,3.0", 0.0, 0.75, 0.5, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("local", [1_000_000, 0])
+def test_nothing_to_merge(spark, local):
+    done = agglomerate(points_of(spark, [(3, 4), (3, 4)]), "f", local_doubles=local)
+    assert done.n_rounds == 0 and done.merges.count() == 0
+    assert [tuple(r) for r in done.centroids.collect()] == [(0, [3.0, 4.0], 2)]
+
+
+def test_no_points(spark):
+    none = points_of(spark, [(1, 1)]).filter("id < 0")
+    with pytest.raises(ValueError):
+        agglomerate(none, "f")
+    with pytest.raises(ValueError):
+        kmeans(none, seeds_of(spark, [(0, 0)]), "f")
+
+
+def test_names_in_use_are_refused(spark):
+    with pytest.raises(ValueError):
+        assign(points_of(spark, [(1, 1)]).withColumnRenamed("id", "cid"), seeds_of(spark, [(0, 0)]), "f")
+
+
+def test_cached_points_give_the_same(spark):
+    df, seeds = points_of(spark, cloud(50, 2)), seeds_of(spark, cloud(3, 2, seed=5))
+    a, b = (kmeans(df, seeds, "f", max_iter=2, stop=None, cache=c).centroids for c in (False, True))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
