@@ -24,6 +24,11 @@ from skeinset.plans import agglomerate as hc  # noqa: E402
 from skeinset.plans import kmeans as km  # noqa: E402
 from skeinset.sources import schemas, sinks, text  # noqa: E402
 
+try:
+    from skeinset.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    llm_queries = None
+
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SEEDS = [
     (10.0, 5000.0, 0.02, 0.01),
@@ -389,7 +394,8 @@ _QUERIES = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    return found | llm_queries.queries() if llm_queries else found
 
 
 # --- SQL for comparison ----------------------------------------------------------------------
@@ -530,6 +536,10 @@ def _simple_sql(points: str, centres: str, size: int, tail: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _sql() | llm_queries.oracle_sql() if llm_queries else _sql()
+
+
+def _sql() -> dict[str, str]:
     line_seeds = f"SELECT * FROM (VALUES {_rows_sql(SEEDS)}) t(cid, c)"
     far_seeds = f"SELECT * FROM (VALUES {_rows_sql([*SEEDS, FAR_SEED])}) t(cid, c)"
     supplier_points = "SELECT s_suppkey AS id, [s_acctbal, s_nationkey::DOUBLE] AS v FROM supplier"
