@@ -238,7 +238,8 @@ def repeated_spans(
     named = docs.select(_digest(text_col).alias("digest"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = named.select("digest", "text").mapInArrow(_anchor_rows(window), "key bigint, digest binary, place int")
     rows = keep(rows, "anchors")
-    again = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # a table of its own, so that the join below shuffles both sides and may split a frequent key
+    again = keep(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "again")
     survivors = (
         rows.join(again, "key")
         .groupBy("digest")
@@ -256,7 +257,7 @@ def repeated_spans(
         single = hot.select("digest", "first", "windows").mapInArrow(
             _one_row_per_window, "hash bigint, digest binary, start int"
         )
-        again = single.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+        again = keep(single.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "again")
         spans = spans.union(
             single.join(again, "hash").select("digest", "start", (F.col("start") + window).cast("int").alias("stop"))
         )
