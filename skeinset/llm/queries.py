@@ -96,7 +96,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"select * from values {values} as r(host, path, verdict)")
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
