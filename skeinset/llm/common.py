@@ -51,6 +51,15 @@ def release(kept: DataFrame) -> None:
     _at(kept.sparkSession, kept.kept_at, "delete", True)
 
 
+def salted_join(many: DataFrame, few: DataFrame, key: str, spread: str, salts: int = 4) -> DataFrame:
+    """``many`` joined with ``few`` (one row per ``key``), a frequent key's rows dealt out by ``spread``.
+
+    Both sides are shuffled by key and salt, so adaptive execution may split what is still too large.
+    """
+    copied = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(copied, [key, "__salt"]).drop("__salt")
+
+
 def _at(spark: SparkSession, path: str, action: str, *args) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     getattr(place.getFileSystem(spark._jsc.hadoopConfiguration()), action)(place, *args)

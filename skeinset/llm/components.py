@@ -2,7 +2,7 @@
 
 Each round points all neighbours of a node to the smallest node it knows, first those above the
 node, then those below. Rounds grow with the logarithm of the number of nodes. A hub only meets a
-pre-aggregated minimum and a join that adaptive execution may split.
+pre-aggregated minimum and a salted join.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinset.llm.common import keep, release
+from skeinset.llm.common import keep, release, salted_join
 
 
 def _pointed(edges: DataFrame) -> DataFrame:
@@ -20,13 +20,13 @@ def _pointed(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return _pointed(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    return _pointed(salted_join(both.filter("b > a"), least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = salted_join(down, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _pointed(moved.union(least.select("a", F.col("m").alias("b"))))
 
 
