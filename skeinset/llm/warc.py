@@ -48,6 +48,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from skeinset.llm.common import salted_join
+
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, refers_to string, "
     "payload_digest string, payload_length bigint, content_length bigint, payload binary"
@@ -440,7 +442,7 @@ def with_revisits(pages: DataFrame, id_col: str, payload_col: str, min_bytes: in
     keyed = base.withColumn("__digest", F.when(F.octet_length(payload_col) >= min_bytes, F.sha1(payload_col)))
     narrow = keyed.filter("__digest is not null").select("__digest", F.col(id_col).alias("__id"))
     latest = narrow.groupBy("__digest").agg(F.max("__id").alias("__latest"), F.count("*").alias("n")).filter("n > 1")
-    older = narrow.join(latest.drop("n"), "__digest").filter("__id is null or __id < __latest")
+    older = salted_join(narrow, latest.drop("n"), "__digest", "__id").filter("__id is null or __id < __latest")
     revisits = older.filter("__latest is not null").distinct().withColumnsRenamed({"__digest": "__d", "__id": "__i"})
     met = keyed.join(revisits, (F.col("__digest") == F.col("__d")) & F.col(id_col).eqNullSafe(F.col("__i")), "left")
     return met.select(
