@@ -14,8 +14,10 @@ each piece finds its range by its rank, and no piece moves but for that rank.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skeinset.llm.common import as_bytes
-from skeinset.llm.tokens import encode_balanced
+from skeinset.llm.tokens import tokenizer
 
 RANK_ROWS = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 
 
 @dataclass(frozen=True)
@@ -166,38 +168,85 @@ def pack(pieces: DataFrame, keys: list[str], length_col: str = "length", capacit
     )
 
 
-class _WordIds:
-    """Token ids of single words as bytes, for tokenizers that never look beyond white space."""
+# Words of these characters only: canonical composition leaves them alone and lower case is one to one.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter a byte-level vocabulary has for each byte: itself where that is visible, else one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+class _TokenIds(dict):
+    """Ids of what the pre-tokenizer of a lower-case vocabulary with word ends gives, by the library's model."""
+
+    def __init__(self, model):
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, token: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        found = self.model.tokenize("".join(map(self.letters.__getitem__, token.encode())))
+        value = self[token] = np.array([t.id for t in found], dtype="<u4").tobytes()
+        return value
+
+
+class _WordIds(dict):
+    """Token ids of single words as bytes, for tokenizers that never look beyond white space.
+
+    Most words are split here as the pre-tokenizer does it, and equal parts of different words are then
+    encoded once; any other word is encoded by the library as it is.
+    """
 
     def __init__(self, path: str):
-        self.path, self.known = path, {}
+        self.tokenizer = tokenizer(path)
+        self.parts = _TokenIds(self.tokenizer.model) if self._splits() else None
+
+    def _splits(self) -> bool:
+        """Whether splitting words here gives what the library gives, tried on words of all kinds."""
+        self.parts = _TokenIds(self.tokenizer.model)
+        tried = ["It's", "Straße,", "ÀÉÎÖÜÿ", "a1b22", "don'tx'll", "x''re", "--a.b!!", "Ñandú's", "<a|b>", "ÿ0ß'd9"]
+        return all(self._split(w) == self._whole(w) for w in tried)
+
+    def _split(self, word: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _TOKENS.findall(word.lower())))
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        cut = [t.split() for t in texts]
-        new = list({w for ws in cut for w in ws if w not in known})
-        for word, found in zip(new, encode_balanced(self.path, [w.decode() for w in new])):
-            known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        text = word.decode()
+        plain = self.parts is not None and "<|" not in text and _PLAIN.fullmatch(text)
+        value = self[word] = self._split(text) if plain else self._whole(text)
+        return value
 
 
-_WORD_IDS: dict[str, _WordIds] = {}
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> _WordIds:
+    return _WordIds(path)
+
+
+def ids_of(text: bytes, path: str) -> bytes:
+    """Ids of a text as little-endian 32-bit numbers."""
+    return b"".join(map(_word_ids(path).__getitem__, text.split()))
 
 
 def token_ids(text: str | Column, path: str, end: int | None = None) -> Column:
     """Ids of each text as an array, with the id ``end`` added; null counts as empty.
 
-    ``path`` names a tokenizer file that drops white space and never joins over it; words are then
-    encoded one by one, equal ones once.
+    ``path`` names a tokenizer file that drops white space and never joins over it; equal words are
+    then encoded once.
     """
     close = b"" if end is None else np.array([end], dtype="<u4").tobytes()
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        coder = _WORD_IDS.setdefault(path, _WordIds(path))
-        found = [np.frombuffer(b + close, dtype="<i4") for b in _in_groups(coder, texts)]
+        found = [np.frombuffer(ids_of(t, path) + close, dtype="<i4") for t in as_bytes(texts)]
         ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
         flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -205,17 +254,6 @@ def token_ids(text: str | Column, path: str, end: int | None = None) -> Column:
     return ids(text)
 
 
-def _in_groups(coder: _WordIds, texts: pa.Array, size: int = 4 << 20) -> list[bytes]:
-    out, group, held = [], [], 0
-    for t in as_bytes(texts):
-        group.append(t)
-        held += len(group[-1])
-        if held >= size:
-            out += coder.of(group)
-            group, held = [], 0
-    return out + coder.of(group)
-
-
 def cut_pieces(text: str | Column, path: str, end: int, tokens: int) -> Column:
     """Array of ``start, length, ids_crc32``: the pieces of at most ``tokens`` ids of each text.
 
@@ -227,10 +265,9 @@ def cut_pieces(text: str | Column, path: str, end: int, tokens: int) -> Column:
 
     @F.arrow_udf("array<struct<start: bigint, length: bigint, ids_crc32: bigint>>")
     def cut(texts: pa.Array) -> pa.Array:
-        coder = _WORD_IDS.setdefault(path, _WordIds(path))
         rows = []
-        for ids in _in_groups(coder, texts):
-            ids += close
+        for text in as_bytes(texts):
+            ids = ids_of(text, path) + close
             parts = range(0, len(ids), 4 * tokens)
             found = [ids[i : i + 4 * tokens] for i in parts]
             rows.append(

@@ -147,25 +147,25 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def train(labelled: DataFrame, text_col: str, label_col: str, order_col: str, settings: Settings = Settings()) -> Model:
-    """A model from rows with a label of 0 or 1; others and null texts are left out.
-
-    Of more than ``settings.sample`` rows, those with the lowest hash of ``order_col`` are used, and of
-    them as many as ``settings.sample_bytes`` of text allow.
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, settings: Settings = Settings()
+) -> Model:
+    """A model from the documents that rows of ``labels`` (with ``id_col``) name, with labels of 0 or 1.
+
+    Of more than ``settings.sample`` such rows, those with the lowest hash of the id are used; of the
+    documents they name, those of no more than ``sample_bytes / sample`` bytes. Null ids, labels and texts
+    are left out. The chosen labels, of bounded number, are broadcast, so texts are read but not shuffled.
     """
-    rows = labelled.filter(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
-        utf8_size(text_col).alias("size"), F.col(text_col).alias("text"), F.col(label_col).alias("label"),
-        F.xxhash64(order_col).alias("at"),
-    )
-    fit = rows.filter(F.col("size") <= settings.sample_bytes // settings.sample).orderBy("at", "label", "text").limit(settings.sample)
-    got = fit.select("text", "label").collect()
+    named = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+    order = F.xxhash64(id_col)
+    sample = named.orderBy(order, id_col, label_col).limit(settings.sample).select(id_col, F.col(label_col).alias("label"))
+    texts = docs.select(id_col, F.col(text_col).alias("text"))
+    short = texts.filter(F.octet_length("text") <= settings.sample_bytes // settings.sample)
+    rows = short.join(F.broadcast(sample), id_col).orderBy(order, id_col, "label", "text").limit(settings.sample)
+    got = rows.select("text", "label").collect()
     return Model.fit([r["text"].encode() for r in got], [r["label"] for r in got], settings)
 
 
-def utf8_size(text: str | Column) -> Column:
-    return F.octet_length(text)
-
-
 def quality_score(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with ``score``, 0 to 1, higher where label 1 is likelier; a column of that name is replaced.
 

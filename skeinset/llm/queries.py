@@ -147,7 +147,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = train(docs.join(labels.filter(~held_out), "doc_id"), "text", "quality", "doc_id")
+    model = train(docs, labels.filter(~held_out), "doc_id", "text", "quality")
     scored = quality_score(docs, model)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
