@@ -15,6 +15,7 @@ each piece finds its range by its rank, and no piece moves but for that rank.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,7 +30,7 @@ from skeinset.llm.common import as_bytes
 from skeinset.llm.tokens import tokenizer
 
 RANK_ROWS = 200_000
-CACHED_WORDS = 300_000
+CACHED_TOKENS = 400_000
 
 
 @dataclass(frozen=True)
@@ -168,9 +169,9 @@ def pack(pieces: DataFrame, keys: list[str], length_col: str = "length", capacit
     )
 
 
-# Words of these characters only: canonical composition leaves them alone and lower case is one to one.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Texts of these characters only: canonical composition leaves them alone and lower case is one to one.
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
 def byte_letters() -> list[str]:
@@ -187,60 +188,55 @@ class _TokenIds(dict):
         self.model, self.letters = model, byte_letters()
 
     def __missing__(self, token: str) -> bytes:
-        if len(self) > CACHED_WORDS:
+        if len(self) > CACHED_TOKENS:
             self.clear()
         found = self.model.tokenize("".join(map(self.letters.__getitem__, token.encode())))
-        value = self[token] = np.array([t.id for t in found], dtype="<u4").tobytes()
+        value = self[token] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
         return value
 
 
-class _WordIds(dict):
-    """Token ids of single words as bytes, for tokenizers that never look beyond white space.
+class _TextIds:
+    """Token ids of texts as bytes, for tokenizers that drop white space and never join over it.
 
-    Most words are split here as the pre-tokenizer does it, and equal parts of different words are then
-    encoded once; any other word is encoded by the library as it is.
+    Most texts are split here as the pre-tokenizer does it, and equal parts are encoded once. Others are
+    encoded by the library, word by word.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.parts = _TokenIds(self.tokenizer.model) if self._splits() else None
-
-    def _splits(self) -> bool:
-        """Whether splitting words here gives what the library gives, tried on words of all kinds."""
         self.parts = _TokenIds(self.tokenizer.model)
-        tried = ["It's", "Straße,", "ÀÉÎÖÜÿ", "a1b22", "don'tx'll", "x''re", "--a.b!!", "Ñandú's", "<a|b>", "ÿ0ß'd9"]
-        return all(self._split(w) == self._whole(w) for w in tried)
+        tried = ["It's  a\nStraße,", "ÀÉÎÖÜÿ", "a1b22 don'tx'll x''re", "--a.b!! 'd", "Ñandú's <a|b>", "ÿ0ß'd9 "]
+        # whether splitting gives what the library gives, tried on all kinds of words
+        self.splits = all(self._split(t) == self._whole(t) for t in tried)
 
-    def _split(self, word: str) -> bytes:
-        return b"".join(map(self.parts.__getitem__, _TOKENS.findall(word.lower())))
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _TOKENS.findall(text.lower())))
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        text = word.decode()
-        plain = self.parts is not None and "<|" not in text and _PLAIN.fullmatch(text)
-        value = self[word] = self._split(text) if plain else self._whole(text)
-        return value
+    def of(self, raw: bytes) -> bytes:
+        text = raw.decode()
+        if self.splits and "<|" not in text and _PLAIN.fullmatch(text):
+            return self._split(text)
+        return b"".join(self._whole(w.decode()) for w in raw.split())
 
 
 @lru_cache(maxsize=1)
-def _word_ids(path: str) -> _WordIds:
-    return _WordIds(path)
+def _text_ids(path: str) -> _TextIds:
+    return _TextIds(path)
 
 
 def ids_of(text: bytes, path: str) -> bytes:
     """Ids of a text as little-endian 32-bit numbers."""
-    return b"".join(map(_word_ids(path).__getitem__, text.split()))
+    return _text_ids(path).of(text)
 
 
 def token_ids(text: str | Column, path: str, end: int | None = None) -> Column:
     """Ids of each text as an array, with the id ``end`` added; null counts as empty.
 
-    ``path`` names a tokenizer file that drops white space and never joins over it; equal words are
-    then encoded once.
+    ``path`` names a tokenizer file that drops white space and never joins over it; equal parts of
+    texts are then encoded once.
     """
     close = b"" if end is None else np.array([end], dtype="<u4").tobytes()
 
