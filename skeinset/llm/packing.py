@@ -171,7 +171,7 @@ def pack(pieces: DataFrame, keys: list[str], length_col: str = "length", capacit
 
 # Texts of these characters only: canonical composition leaves them alone and lower case is one to one.
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
-_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+_TOKENS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\\sa-zß-öø-ÿ0-9]+")
 
 
 def byte_letters() -> list[str]:
