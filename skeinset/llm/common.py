@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +14,22 @@ from pyspark.sql import functions as F
 from skeinset.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends batches of about ``BATCH_BYTES`` at most to Python from here on.
+
+    Texts are long, and Spark's own bound of 64 MiB is a multiple of that in a worker that holds a batch,
+    its texts and its results. A lower bound that is set already stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(name))
+    if not now or int(now[1]) > BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null as empty."""
     return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]

@@ -30,7 +30,7 @@ from skeinset.llm.common import as_bytes
 from skeinset.llm.tokens import tokenizer
 
 RANK_ROWS = 200_000
-CACHED_TOKENS = 400_000
+CACHED_TOKENS = 250_000
 
 
 @dataclass(frozen=True)

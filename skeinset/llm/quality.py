@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skeinset.llm.common import as_bytes
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _SHAPE = bytes(
     0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A or c >= 0x80 else 0x30 if 0x30 <= c <= 0x39 else c
     for c in range(256)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinset.llm import sql
-from skeinset.llm.common import keep, scratch_path, utf8
+from skeinset.llm.common import bounded_batches, keep, scratch_path, utf8
 from skeinset.llm.decontaminate import contamination
 from skeinset.llm.packing import document_pieces, pack
 from skeinset.llm.quality import quality_score, train
@@ -30,7 +30,7 @@ URL_RULES = [
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _vocabulary(name: str) -> str:

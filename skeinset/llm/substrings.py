@@ -26,7 +26,7 @@ from skeinset.llm.common import as_bytes, keep, release, sorted_runs, utf8
 
 WINDOW = 35
 RUN_LIMIT = 20_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 _PLACE_BITS = 28
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CALL_BYTES = 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 
 _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
