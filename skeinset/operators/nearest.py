@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinset.functions.kernels import distances, strips
@@ -44,13 +44,16 @@ class Centroids:
         """Look at the table, and take it to the driver only if it is within the bound."""
         bound = LOCAL_DOUBLES if local_doubles is None else local_doubles
         plain = df.select(F.col("cid").cast("bigint").alias("cid"), F.col("c").cast("array<double>").alias("c"))
-        head = plain.select(F.size("c").alias("size")).head()
-        if head is None:
+        broken = "c is null or exists(c, x -> x is null or isnan(x))"
+        seen = plain.agg(F.min(F.size("c")).alias("low"), F.max(F.size("c")).alias("size"), F.max(F.expr(broken)).alias("broken")).head()
+        if seen["size"] is None:
             raise ValueError("no centroids given")
-        most = bound // max(head["size"], 1)
+        if seen["broken"] or seen["low"] != seen["size"]:
+            raise ValueError("centroids must have coordinates of one number, none missing")
+        most = bound // max(seen["size"], 1)
         rows = plain.limit(most + 1).collect()
         if len(rows) > most:
-            return Centroids(plain, head["size"], None)
+            return Centroids(plain, seen["size"], None)
         return Centroids.local(df.sparkSession, [(r["cid"], r["c"]) for r in rows])
 
     @staticmethod
@@ -72,17 +75,28 @@ def with_nearest(
 ) -> DataFrame:
     """``points`` with ``cid, dist`` and, if asked, ``second``: the distance to the next nearest centroid.
 
-    ``second`` is null where there is only one centroid. Points must have all coordinates; one
-    that lacks any is an error.
+    ``second`` is null where there is only one centroid. Points must have all coordinates and no
+    more than the centroids; a short, long or null vector, and a null or NaN coordinate, is an error,
+    the same one however many centroids there are.
     """
     taken = {"cid", "dist", "second"}.intersection(points.columns)
     if taken:
         raise ValueError(f"points already have columns named {sorted(taken)}")
-    if centroids.rows is None:
-        return _by_tiles(points, centroids, features, second, p)
-    if len(centroids.rows) * centroids.size <= INLINE_DOUBLES:
-        return _inline(points, centroids, features, second, p)
-    return _batched(points, centroids, features, second, p)
+    few = centroids.rows is not None and len(centroids.rows) * centroids.size <= INLINE_DOUBLES
+    if few and not isinstance(features, str):
+        if len(features) != centroids.size:
+            raise ValueError("points and centroids differ in their number of coordinates")
+        return _inline(points, centroids, features, second, p)  # tests null and NaN itself
+    checked = points.withColumn("__point", _whole(as_vector(features), centroids.size))
+    way = _by_tiles if centroids.rows is None else _inline if few else _batched
+    return way(checked, centroids, "__point", second, p).drop("__point")
+
+
+def _whole(vector: Column, size: int) -> Column:
+    """``vector`` if it has ``size`` coordinates, none null or NaN; else an error."""
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    good = vector.isNotNull() & (F.size(vector) == size) & ~broken
+    return F.when(good, vector).otherwise(F.raise_error(F.lit("a point lacks a coordinate or has too many")).cast("array<double>"))
 
 
 def _inline(

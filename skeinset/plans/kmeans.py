@@ -73,6 +73,9 @@ def random_seeds(points: DataFrame, k: int, id_col: str, features: Features, see
     first = pool.select(F.size("c").alias("size")).head()
     if first is not None and k * first["size"] > nearest.LOCAL_DOUBLES:
         drawn = number_rows(pool, ["__draw", "__id"], "__rank").filter(F.col("__rank") < k)
+        found = drawn.count()
+        if found < k:
+            raise ValueError(f"{k} seeds asked of {found} points")
         return number_rows(drawn.select("__id", "c"), ["__id"], "cid").select("cid", "c")
     rows = sorted(pool.orderBy("__draw", "__id").limit(k).collect(), key=lambda r: r["__id"])
     if len(rows) < k:
@@ -163,7 +166,9 @@ def kmeans(
                 current = Centroids.local(spark, [(r["cid"], r["c"]) for r in rows])
             else:
                 last = cut_lineage(moved.select(F.lit(iteration).alias("iteration"), "cid", "shift", "c", "prev", "n"))
-                largest = last.agg(F.coalesce(F.max("shift"), F.lit(0.0))).head()[0]
+                largest = last.agg(F.max("shift")).head()[0]
+                if largest is None:
+                    raise ValueError("no points given")
                 tables.append(last)
                 current = Centroids(last.select("cid", "c"), current.size, None)
             if stop is not None and largest <= threshold:

@@ -321,3 +321,30 @@ def test_cached_points_give_the_same(spark):
     df, seeds = points_of(spark, cloud(50, 2)), seeds_of(spark, cloud(3, 2, seed=5))
     a, b = (kmeans(df, seeds, "f", max_iter=2, stop=None, cache=c).centroids for c in (False, True))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+@pytest.mark.parametrize(
+    "bad", [[1.0, 2.0, 3.0], [1.0], [float("nan"), 1.0], [1.0, None], None], ids=["long", "short", "nan", "null", "no vector"]
+)
+def test_bad_points_are_the_same_error_however_many_centroids(spark, way, bad):
+    points = spark.createDataFrame([(0, [1.0, 1.0]), (1, bad)], "id long, v array<double>")
+    seeds = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9.0, 9.0])], "cid long, c array<double>")
+    with pytest.raises(Exception, match="lacks a coordinate or has too many"):
+        nearest.assign(points, seeds, "v").collect()
+
+
+@pytest.mark.parametrize("bad", [[1.0], [1.0, None], [1.0, float("nan")], None])
+def test_bad_centroids_are_an_error(spark, way, bad):
+    points = spark.createDataFrame([(0, [1.0, 1.0])], "id long, v array<double>")
+    seeds = spark.createDataFrame([(0, [0.0, 0.0]), (1, bad)], "cid long, c array<double>")
+    with pytest.raises(ValueError, match="none missing"):
+        nearest.assign(points, seeds, "v")
+
+
+def test_too_few_or_no_points_are_an_error(spark, way):
+    points = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "id long, v array<double>")
+    seeds = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9.0, 9.0])], "cid long, c array<double>")
+    with pytest.raises(ValueError, match="9 seeds asked of 5 points"):
+        random_seeds(points, 9, "id", "v")
+    with pytest.raises(ValueError, match="no points given"):
+        kmeans(points.filter("id > 9"), seeds, "v")
