@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,19 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_HELD: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, clear: Callable[[], object]) -> None:
+    """Say in a task that the operator ``name`` now keeps memory that ``clear`` frees; that of others is freed.
+
+    Python workers are used again by later stages, which would otherwise add theirs to it.
+    """
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = clear
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null as empty."""
     return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]

@@ -26,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skeinset.llm.common import as_bytes
+from skeinset.llm.common import as_bytes, hold
 from skeinset.llm.tokens import tokenizer
 
 RANK_ROWS = 200_000
-CACHED_TOKENS = 250_000
+CACHED_TOKENS = 400_000
 
 
 @dataclass(frozen=True)
@@ -232,6 +232,11 @@ def ids_of(text: bytes, path: str) -> bytes:
     return _text_ids(path).of(text)
 
 
+def _forget() -> None:
+    _text_ids.cache_clear()
+    tokenizer.cache_clear()
+
+
 def token_ids(text: str | Column, path: str, end: int | None = None) -> Column:
     """Ids of each text as an array, with the id ``end`` added; null counts as empty.
 
@@ -242,6 +247,7 @@ def token_ids(text: str | Column, path: str, end: int | None = None) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
+        hold("packing", _forget)
         found = [np.frombuffer(ids_of(t, path) + close, dtype="<i4") for t in as_bytes(texts)]
         ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
         flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
@@ -261,6 +267,7 @@ def cut_pieces(text: str | Column, path: str, end: int, tokens: int) -> Column:
 
     @F.arrow_udf("array<struct<start: bigint, length: bigint, ids_crc32: bigint>>")
     def cut(texts: pa.Array) -> pa.Array:
+        hold("packing", _forget)
         rows = []
         for text in as_bytes(texts):
             ids = ids_of(text, path) + close

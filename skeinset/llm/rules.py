@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skeinset.llm.common import as_bytes
+from skeinset.llm.common import as_bytes, hold
 
 _NOT_SYMBOLS = bytes(set(range(256)) - set(b"#*$%&|<>"))
 _BLANKS = b" \t\n\r\x0b\x0c"
@@ -130,6 +130,7 @@ def quality_rules(text: str | Column, limits: Limits = Limits()) -> Column:
 
     @F.arrow_udf(f"struct<{kind}>")
     def judge(texts: pa.Array) -> pa.Array:
+        hold("rules", int)
         rows = np.array([measure(t, limits) for t in as_bytes(texts)], dtype=np.int64).reshape(-1, len(_NAMES))
         n, again, covered, longest = rows[:, 0], rows[:, 4], rows[:, 5], rows[:, 6]
         failed = (n < limits.min_words) | (again > limits.base_repeat * n)

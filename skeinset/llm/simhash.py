@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinset.llm.common import as_bytes, keep, sorted_runs
+from skeinset.llm.common import as_bytes, hold, keep, sorted_runs
 from skeinset.llm.components import components
 
 SEED = 42
@@ -59,6 +59,7 @@ def fingerprint(text: str | Column, words: int = 4) -> Column:
 
     @F.arrow_udf("bigint")
     def simhash(texts: pa.Array) -> pa.Array:
+        hold("simhash", int)
         return pa.array([fingerprint_of(t, words) for t in as_bytes(texts)], pa.int64())
 
     return simhash(text)

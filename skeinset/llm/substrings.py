@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinset.llm.common import as_bytes, keep, release, sorted_runs, utf8
+from skeinset.llm.common import as_bytes, hold, keep, release, sorted_runs, utf8
 
 WINDOW = 35
 RUN_LIMIT = 20_000
@@ -96,6 +96,7 @@ def _anchor_rows(window: int):
     short, _, _ = levels(window)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("substrings", _HASHES.clear)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -127,6 +128,7 @@ def _candidate_rows(window: int):
     fields = ["key", "digest", "first", "left", "right", "windows", "hot"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("substrings", _HASHES.clear)
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
