@@ -286,4 +286,5 @@ def document_pieces(
 ) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32``: one row per piece of each document, empty ones too."""
     found = docs.select(F.col(id_col), cut_pieces(text_col, path, end, tokens).alias("__cut"))
-    return found.select(id_col, F.posexplode("__cut").alias("piece", "__p")).select(id_col, "piece", "__p.*")
+    # Every text has a piece. The outer form keeps Spark from a filter on their number, which would cut all texts twice.
+    return found.select(id_col, F.posexplode_outer("__cut").alias("piece", "__p")).select(id_col, "piece", "__p.*")
