@@ -294,7 +294,8 @@ def _without(text: Column, spans: Column, whole: bool = False) -> Column:
             [pa.array(c, k) for c, k in zip(columns, kinds)], names=["n_words", "n_removed", "kept_sha256", "kept_text"]
         )
 
-    return without(text, spans)
+    # A filter on the result would else be moved before it, with a second run of the function of its own.
+    return without.asNondeterministic()(text, spans)
 
 
 _NOTHING = hashlib.sha256(b"").hexdigest()
