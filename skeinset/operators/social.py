@@ -136,24 +136,24 @@ def one_way_same_group(
 ) -> DataFrame:
     """Distinct ``out_cols`` of nodes with an edge, not returned, to a node of their own group.
 
-    An edge and its reverse have the same two ends, so both survive the group test or neither
-    does. The test therefore goes first, and the anti-join sees only edges inside a group. Only
-    ids and groups travel with the edges; ``out_cols`` are fetched for the sources that remain.
+    One aggregate per unordered pair tells which directions it has, so edges are shuffled once and only
+    one-way links, of ids alone, meet the nodes; ``out_cols`` are fetched for the sources that remain.
+    An edge from a node to itself is its own return.
     """
     ends = nodes.select(F.col(node_id).alias("__id"), F.col(group).alias("__group"))
-    links = edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct()
+    a, b = F.col(src), F.col(dst)
+    one_way = (
+        edges.filter(a.isNotNull() & b.isNotNull())
+        .groupBy(F.least(a, b).alias("__low"), F.greatest(a, b).alias("__high"))
+        .agg(F.bool_or(a <= b).alias("__up"), F.bool_or(a >= b).alias("__down"))
+        .filter(F.col("__up") != F.col("__down"))
+    )
+    up, low, high = F.col("__up"), F.col("__low"), F.col("__high")
+    links = one_way.select(F.when(up, low).otherwise(high).alias("__src"), F.when(up, high).otherwise(low).alias("__dst"))
     tail = ends.select(F.col("__id").alias("__src"), F.col("__group").alias("__g"))
     head = ends.select(F.col("__id").alias("__dst"), F.col("__group").alias("__h"))
-    inside = (
-        links.join(tail, "__src")
-        .join(head, "__dst")
-        .filter(F.col("__g") == F.col("__h"))
-        .select("__src", "__dst", "__h")
-    )
-    back = inside.select(F.col("__dst").alias("__a"), F.col("__src").alias("__b"), F.col("__h").alias("__k"))
-    # The group is part of the key: without it the anti-join would be pushed below the group test.
-    returned = (F.col("__src") == F.col("__a")) & (F.col("__dst") == F.col("__b")) & (F.col("__h") == F.col("__k"))
-    sources = inside.join(back, returned, "left_anti").select("__src", "__h").distinct()
+    inside = links.join(tail, "__src").join(head, "__dst").filter(F.col("__g") == F.col("__h"))
+    sources = inside.select("__src", "__h").distinct()
     return (
         sources.join(nodes, (F.col("__src") == F.col(node_id)) & (F.col("__h") == F.col(group)))
         .select(*out_cols)
