@@ -180,12 +180,12 @@ def kmeans_aligned(spark, sf):
 
 
 def kmeans_centroids(spark, sf):
-    return _flat(_fit(spark, sf, max_iter=3, threshold=10.0).report, "state")
+    return _flat(_fit(spark, sf, threshold=10.0).report, "state")
 
 
 def kmeans_assignments(spark, sf):
     embeddings = _read(spark, sf, "embeddings")
-    fit = km.kmeans(embeddings, _vector_seeds(embeddings), "embedding", max_iter=3, threshold=0.0001)
+    fit = km.kmeans(embeddings, _vector_seeds(embeddings), "embedding", threshold=0.0001)
     return fit.assignments.select("vec_id", "cid", F.round("dist", 5).alias("dist"))
 
 
@@ -228,6 +228,19 @@ def silhouette_pairwise_points(spark, sf):
     return scored.select("s_suppkey", "cid", F.round("s", 6).alias("s"))
 
 
+def kmeans_silhouette(spark, sf):
+    centres = _fit(spark, sf).centroids
+    scored = silhouette.silhouette(_read(spark, sf, "lineitem"), centres, MEASURES, by="cluster")
+    return scored.select("cid", F.round("s", 6).alias("s"), "n")
+
+
+def kmeans_silhouette_pairwise(spark, sf):
+    embeddings = _read(spark, sf, "embeddings")
+    fit = km.kmeans(embeddings, _vector_seeds(embeddings), "embedding", threshold=0.0001)
+    scored = silhouette.silhouette(embeddings, fit.centroids, "embedding", "pairwise", "cluster")
+    return scored.select("cid", F.round("s", 6).alias("s"), "n")
+
+
 SUPPLIER_CENTRES = [(1000.0, 12.0), (5000.0, 12.0), (9000.0, 12.0)]
 
 
@@ -251,13 +264,17 @@ def agglomerate_merges(spark, sf):
 
 
 def agglomerate_centroids(spark, sf):
-    done = hc.agglomerate(_read(spark, sf, "customer"), ["c_nationkey"], target_k=3)
+    done = hc.agglomerate(_read(spark, sf, "customer"), ["c_nationkey"])
     last = done.last_midpoints.select("cid", F.round(F.col("c")[0], 6).alias("last_midpoint"))
     return done.centroids.select("cid", F.round(F.col("c")[0], 6).alias("mean"), "n").join(last, "cid")
 
 
 def agglomerate_rounds(spark, sf):
-    merges = hc.agglomerate(_read(spark, sf, "embeddings"), "embedding", max_rounds=3).merges
+    balance = F.col("c_acctbal")
+    nations = _read(spark, sf, "customer").groupBy("c_nationkey").agg(
+        F.min(balance).alias("low"), F.max(balance).alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    merges = hc.agglomerate(nations, ["low", "high", "n"]).merges
     return merges.select("round", "n_before", "i", "j", F.round("distance", 6).alias("distance"))
 
 
@@ -333,6 +350,19 @@ def text_points(spark, sf):
     return parsed.select(*[F.col("features")[i].alias(f"f{i}") for i in range(4)])
 
 
+def text_follows(spark, sf):
+    rows = _read(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_custkey") + 1, F.col("o_totalprice"), "o_orderpriority", "o_orderstatus"
+    )
+    return text.parse_delimited(sinks.to_lines(rows), schemas.FOLLOWS)
+
+
+def text_activity(spark, sf):
+    number = F.when(F.col("value") > 10, F.col("event_id"))
+    rows = _read(spark, sf, "events").select("event_id", "user_id", number, "event_type")
+    return text.parse_delimited(sinks.to_lines(rows), schemas.ACTIVITY)
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
@@ -380,6 +410,8 @@ _QUERIES = [
     silhouette_simple_clusters,
     silhouette_pairwise,
     silhouette_pairwise_points,
+    kmeans_silhouette,
+    kmeans_silhouette_pairwise,
     agglomerate_merges,
     agglomerate_centroids,
     agglomerate_rounds,
@@ -389,6 +421,8 @@ _QUERIES = [
     knn_one_per_distance,
     text_pages,
     text_points,
+    text_follows,
+    text_activity,
     vector_functions,
 ]
 
@@ -553,7 +587,7 @@ def _sql() -> dict[str, str]:
     manhattan = f"""SELECT {_flat_sql('n')} FROM (SELECT cid, [{_mean(4)}] AS c, count(*) AS n FROM (
         {_nearest_sql(f'({_LINE_POINTS})', f'({line_seeds})', 4, 1)}) GROUP BY cid)"""
     lloyd = _kmeans_sql(_EMB_POINTS, _EMB_SEEDS, 64, 30, "aligned", 0.0001)
-    emb_fit = _kmeans_sql(_EMB_POINTS, _EMB_SEEDS, 64, 3, "nearest", 0.0001)
+    emb_fit = _kmeans_sql(_EMB_POINTS, _EMB_SEEDS, 64, 5, "nearest", 0.0001)
     return {
         "count_per_category": "SELECT c_mktsegment, count(c_custkey) AS access_count FROM customer GROUP BY 1",
         "top10_most_accessed": """SELECT c_custkey, c_name, c_acctbal FROM (
@@ -594,7 +628,7 @@ def _sql() -> dict[str, str]:
         ),
         "kmeans_centroids": _line_fit(
             "SELECT " + _flat_sql("CASE WHEN done THEN 'Convergence reached' ELSE 'Convergence not reached' END AS state")
-            + f" FROM k {_LAST}", 3, "nearest", 10.0
+            + f" FROM k {_LAST}", 5, "nearest", 10.0
         ),
         "kmeans_assignments": f"""WITH RECURSIVE {emb_fit}, last AS (SELECT * FROM k {_LAST})
             SELECT vec_id, cid, round(dist, 5) AS dist FROM ({_nearest_sql('pts', 'last', 64)})""",
@@ -614,6 +648,18 @@ def _sql() -> dict[str, str]:
         "silhouette_pairwise_points": _pairwise_sql(
             supplier_points, supplier_centres, 2, "SELECT id AS s_suppkey, cid, round(s, 6) AS s FROM scored"
         ),
+        "kmeans_silhouette": _simple_sql(
+            _LINE_POINTS,
+            _line_fit(f"SELECT cid, c FROM k {_LAST}"),
+            4,
+            "SELECT cid, round(avg(s), 6) AS s, count(*) AS n FROM scored GROUP BY cid",
+        ),
+        "kmeans_silhouette_pairwise": _pairwise_sql(
+            emb_ids,
+            f"WITH RECURSIVE {emb_fit} SELECT cid, c FROM k {_LAST}",
+            64,
+            "SELECT cid, round(avg(s), 6) AS s, count(*) AS n FROM scored GROUP BY cid",
+        ),
         "agglomerate_merges": _agglomerate_sql(
             "SELECT [p_size::DOUBLE] AS v FROM part",
             1,
@@ -625,7 +671,7 @@ def _sql() -> dict[str, str]:
         "agglomerate_centroids": _agglomerate_sql(
             "SELECT [c_nationkey::DOUBLE] AS v FROM customer",
             1,
-            3,
+            1,
             None,
             f""", last AS (SELECT * FROM st WHERE round = (SELECT max(round) FROM st)),
             final AS ({_nearest_sql('pts', 'last', 1)})
@@ -634,10 +680,10 @@ def _sql() -> dict[str, str]:
             FROM final JOIN last ON final.cid = last.cid GROUP BY final.cid""",
         ),
         "agglomerate_rounds": _agglomerate_sql(
-            "SELECT embedding::DOUBLE[] AS v FROM embeddings",
-            64,
-            1,
+            """SELECT [min(c_acctbal), max(c_acctbal), count(*)::DOUBLE] AS v FROM customer GROUP BY c_nationkey""",
             3,
+            1,
+            None,
             """SELECT DISTINCT (round - 1)::INT AS round, n_before, i, j, round(d, 6) AS distance
                FROM st WHERE round > 0""",
         ),
@@ -667,6 +713,11 @@ def _sql() -> dict[str, str]:
         "text_pages": """SELECT c_custkey::INT AS id, c_name AS "userNickname",
             CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "userJob", trunc(c_acctbal)::INT AS "userRegionCode",
             c_mktsegment AS "userHobby" FROM customer""",
+        "text_follows": """SELECT o_orderkey::INT AS "colRel", o_custkey::INT AS id1, (o_custkey + 1)::INT AS id2,
+            trunc(o_totalprice)::INT AS date, o_orderpriority AS "desc" FROM orders""",
+        "text_activity": """SELECT event_id::INT AS "logId", user_id::INT AS "byWho",
+            CASE WHEN value > 10 THEN event_id::INT END AS "whatPage", event_type AS "actionType",
+            NULL::INT AS time FROM events""",
         "text_points": "SELECT l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2, l_tax AS f3 FROM lineitem",
         "vector_functions": """SELECT vec_id,
             round(sqrt(list_sum([(x - 0.1::DOUBLE) * (x - 0.1::DOUBLE) for x in v])), 6) AS euclidean,

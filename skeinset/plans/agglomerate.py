@@ -5,9 +5,7 @@ takes the means, and replaces the two closest means by their mid-point; it goes
 ``target_k`` are left. A last pass takes the means once more.
 
 Equal points are collapsed to one weighted point first, which gives the same means. The number of
-rounds is the number of clusters to merge away, each round needing the one before, so large inputs
-are to be reduced by ``pre_k``: k-means to that many weighted centroids, which the rounds then run
-on. Centroids within the bound of ``nearest.LOCAL_DOUBLES`` visit the driver between rounds;
+rounds is the number of clusters to merge away, each round needing the one before. Centroids within the bound of ``nearest.LOCAL_DOUBLES`` visit the driver between rounds;
 beyond it they stay a table, and each round ends in a checkpoint.
 """
 
@@ -22,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from skeinset.functions.kernels import distances, strips
-from skeinset.functions.vectors import Features, as_vector, format_vector, midpoint
+from skeinset.functions.vectors import Features, as_vector, midpoint
 from skeinset.operators import tiles
 from skeinset.operators.nearest import CENTROID_SCHEMA, LOCAL_DOUBLES, Centroids, local_table
 from skeinset.operators.ranks import number_rows
-from skeinset.plans.kmeans import cluster_means, kmeans, random_seeds
+from skeinset.plans.kmeans import cluster_means
 from skeinset.session import cut_lineage
 
 _MERGES = pa.schema(
@@ -40,9 +38,6 @@ _MERGES = pa.schema(
     ]
 )
 _MEANS = pa.schema([*CENTROID_SCHEMA, ("n", pa.int64())])
-PRE_ROUNDS = 5
-DRIVER_PAIRS = 512
-CELLS_PER_TASK = 20_000_000
 
 
 @dataclass
@@ -98,8 +93,6 @@ def agglomerate(
     features: Features,
     target_k: int = 1,
     max_rounds: int | None = None,
-    pre_k: int | None = None,
-    pre_seed: int = 0,
     local_doubles: int = LOCAL_DOUBLES,
 ) -> AgglomerateResult:
     """Merge until ``target_k`` clusters are left, or for ``max_rounds``.
@@ -111,8 +104,6 @@ def agglomerate(
         raise ValueError("target_k must be at least 1")
     vectors = points.select(as_vector(features).alias("c"))
     weighted = vectors.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    if pre_k is not None:
-        weighted = _condense(vectors, weighted, pre_k, pre_seed)
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _merge_rounds(weighted, target_k, max_rounds, local_doubles)
@@ -120,15 +111,6 @@ def agglomerate(
         weighted.unpersist()
 
 
-def _condense(vectors: DataFrame, distinct: DataFrame, pre_k: int, seed: int) -> DataFrame:
-    """At most ``pre_k`` weighted centroids in place of the points."""
-    if distinct.limit(pre_k + 1).count() <= pre_k:
-        return distinct
-    named = distinct.select(format_vector("c").alias("name"), "c")
-    seeds = random_seeds(named, pre_k, "name", "c", seed)
-    return kmeans(vectors, seeds, "c", max_iter=PRE_ROUNDS, stop=None).centroids.select("c", "n")
-
-
 def _merge_rounds(
     weighted: DataFrame, target_k: int, max_rounds: int | None, local_doubles: int
 ) -> AgglomerateResult:
@@ -137,7 +119,6 @@ def _merge_rounds(
     if not n:
         raise ValueError("no points given")
     if n * size <= local_doubles:
-        weighted = weighted.coalesce(1 + n * n * size // CELLS_PER_TASK)
         start = sorted(list(r["c"]) for r in weighted.select("c").collect())
         centres = Centroids.local(spark, list(enumerate(start)))
     else:
@@ -145,7 +126,7 @@ def _merge_rounds(
     merges, left, fresh = [], n, n
     while left > target_k and (max_rounds is None or len(merges) < max_rounds):
         centres, left = _means(weighted, centres, left, local_doubles)
-        pair = _find_pair(centres) if left > target_k else None
+        pair = _closest(centres).head() if left > target_k else None
         if pair is None:
             break
         distance, i, j = pair
@@ -160,19 +141,6 @@ def _merge_rounds(
     return AgglomerateResult(local_table(spark, merges, _MERGES), centres.df, final, len(merges))
 
 
-def _find_pair(centres: Centroids) -> tuple[float, int, int] | None:
-    """Distance and numbers of the closest two; up to ``DRIVER_PAIRS`` centroids need no job for it."""
-    if centres.rows is None or len(centres.rows) > DRIVER_PAIRS:
-        return _closest(centres).head()
-    if len(centres.rows) < 2:
-        return None
-    table = np.array([c for _, c in centres.rows])
-    gaps = distances(table, table)
-    gaps[np.tri(len(table), dtype=bool)] = np.inf
-    i, j = divmod(int(gaps.argmin()), len(table))
-    return float(gaps[i, j]), centres.rows[i][0], centres.rows[j][0]
-
-
 def _means(
     weighted: DataFrame, centres: Centroids, most: int, local_doubles: int
 ) -> tuple[Centroids, int]:

@@ -269,14 +269,6 @@ def test_closest_pair(spark, local, monkeypatch):
     assert closest_pair(seeds_of(spark, rows[:1]), local).count() == 0
 
 
-def test_agglomerate_from_condensed_points(spark):
-    done = agglomerate(points_of(spark, cloud(400, 2, top=100)), "f", target_k=3, pre_k=8)
-    assert done.centroids.count() <= 3
-    assert done.centroids.agg(F.sum("n")).head()[0] == 400
-    few = agglomerate(points_of(spark, [(0,), (1,), (10,)]), "f", pre_k=5)
-    assert few.n_rounds == 2
-
-
 def test_vector_functions(spark):
     df = spark.range(1).select(
         F.array(F.lit(0.0), F.lit(3.0)).alias("a"), F.array(F.lit(4.0), F.lit(0.0)).alias("b"), F.lit("1, 2.5").alias("t")
