@@ -346,7 +346,9 @@ def text_pages(spark, sf):
 
 
 def text_points(spark, sf):
-    parsed = text.parse_points(sinks.to_lines(_read(spark, sf, "lineitem").select(*MEASURES)))
+    lines = sinks.to_lines(_read(spark, sf, "lineitem").select(*MEASURES))
+    spaced = lines.select(F.explode(F.array(F.concat(F.lit("  "), "value"), F.lit("  "))).alias("value"))
+    parsed = text.parse_points(spaced)
     return parsed.select(*[F.col("features")[i].alias(f"f{i}") for i in range(4)])
 
 
