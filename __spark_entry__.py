@@ -199,6 +199,11 @@ def random_init(spark, sf):
     return seeds.select("cid", F.col("c")[0].alias("c0"), F.col("c")[63].alias("c63"))
 
 
+def random_init_without_ids(spark, sf):
+    seeds = km.random_seeds(_read(spark, sf, "lineitem"), VECTOR_SEEDS, None, MEASURES, VECTOR_SEED)
+    return seeds.select("cid", *[F.col("c")[i].alias(f"c{i}") for i in range(4)])
+
+
 # --- silhouettes -----------------------------------------------------------------------------
 
 
@@ -335,6 +340,27 @@ def knn_one_per_distance(spark, sf):
     )
 
 
+def knn_parsed_queries(spark, sf):
+    n = F.col("n_nationkey")
+    asked = _read(spark, sf, "nation").select(
+        n, n % 7 + 1, n + 20, n * 400, F.when(n % 2 == 0, "BUILDING").otherwise("MACHINERY"), n % 3, n % 6
+    )
+    key = F.col("c_custkey")
+    train = _read(spark, sf, "customer").select(
+        "c_custkey",
+        (key % 60 + 18).alias("age"),
+        F.col("c_acctbal").alias("income"),
+        F.col("c_mktsegment").alias("status"),
+        (F.col("c_nationkey") % 3).cast("string").alias("gender"),
+        (key % 6).alias("children"),
+        F.concat(F.lit("m"), F.col("c_nationkey").cast("string")).alias("model"),
+    )
+    named = [F.col(c).alias(a) for c, a in zip(asked.columns, "abcdefg")]
+    queries_ = text.parse_delimited(sinks.to_lines(asked.select(*named)), (("query_id", "int"), *schemas.QUERY))
+    found = knn_ops.knn_classify(train, queries_, "k", id_cols=["c_custkey"]).neighbours
+    return found.select("query_id", "rank", F.round("dist", 9).alias("dist"), "c_custkey", "label")
+
+
 # --- text formats ----------------------------------------------------------------------------
 
 
@@ -408,6 +434,7 @@ _QUERIES = [
     kmeans_assignments,
     kmeans_assign_lines,
     random_init,
+    random_init_without_ids,
     silhouette_simple,
     silhouette_simple_clusters,
     silhouette_pairwise,
@@ -421,6 +448,7 @@ _QUERIES = [
     knn_classify,
     knn_neighbours,
     knn_one_per_distance,
+    knn_parsed_queries,
     text_pages,
     text_points,
     text_follows,
@@ -638,6 +666,9 @@ def _sql() -> dict[str, str]:
             f"(SELECT l_orderkey, l_linenumber, {', '.join(MEASURES)}, [{', '.join(MEASURES)}] AS v FROM lineitem)",
             f'({line_seeds})', 4)})""",
         "random_init": f"SELECT cid, c[1] AS c0, c[64] AS c63 FROM ({_EMB_SEEDS})",
+        "random_init_without_ids": f"""WITH t AS (SELECT v, row_number() OVER (PARTITION BY v) AS i FROM ({_LINE_POINTS})),
+            drawn AS (SELECT * FROM t ORDER BY md5('{VECTOR_SEED}:' || array_to_string(v, ',') || ':' || i) LIMIT {VECTOR_SEEDS})
+            SELECT (row_number() OVER (ORDER BY v, i) - 1)::BIGINT AS cid, v[1] AS c0, v[2] AS c1, v[3] AS c2, v[4] AS c3 FROM drawn""",
         "silhouette_simple": _simple_sql(
             emb_ids, _EMB_SEEDS, 64, "SELECT id AS vec_id, cid, round(s, 6) AS s FROM scored"
         ),
@@ -712,6 +743,21 @@ def _sql() -> dict[str, str]:
             True,
             "SELECT query_id, rank, round(dist, 9) AS dist, l_orderkey, l_linenumber, label FROM near",
         ),
+        "knn_parsed_queries": """WITH t AS (
+              SELECT c_custkey, (c_custkey % 60 + 18 - 18.0::DOUBLE) / 59.0::DOUBLE AS a,
+                     (c_acctbal - 5000.0::DOUBLE) / 62789.0::DOUBLE AS b, (c_custkey % 6)::DOUBLE / 5.0::DOUBLE AS c,
+                     c_mktsegment AS status, c_nationkey % 3 AS gender, 'm' || c_nationkey AS label FROM customer),
+            q AS (
+              SELECT n_nationkey AS query_id, n_nationkey % 7 + 1 AS k, (n_nationkey + 20 - 18.0::DOUBLE) / 59.0::DOUBLE AS a,
+                     (n_nationkey * 400 - 5000.0::DOUBLE) / 62789.0::DOUBLE AS b, (n_nationkey % 6)::DOUBLE / 5.0::DOUBLE AS c,
+                     CASE WHEN n_nationkey % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END AS status, n_nationkey % 3 AS gender
+              FROM nation),
+            pairs AS (
+              SELECT query_id, k, c_custkey, label, (q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c)
+                + CASE WHEN q.status = t.status THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END
+                + CASE WHEN q.gender = t.gender THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS dist FROM t, q),
+            near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, c_custkey)::INT AS rank FROM pairs)
+            SELECT query_id::INT AS query_id, rank, round(dist, 9) AS dist, c_custkey, label FROM near WHERE rank <= k""",
         "text_pages": """SELECT c_custkey::INT AS id, c_name AS "userNickname",
             CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "userJob", trunc(c_acctbal)::INT AS "userRegionCode",
             c_mktsegment AS "userHobby" FROM customer""",

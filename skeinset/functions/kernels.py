@@ -10,11 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STRIP_CELLS = 50_000
+QUERY_STRIP = 128
+ROW_STRIP = 8192
 
 
 def distances(x: np.ndarray, y: np.ndarray, p: float = 2) -> np.ndarray:
@@ -41,3 +44,67 @@ def strips(x: np.ndarray, width: int) -> Iterator[slice]:
 def values(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     """The list in one cell of an Arrow batch."""
     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
+
+
+def first_per_query(rows: pa.Table, k: np.ndarray, one_per_distance: bool) -> pa.Table:
+    """The first ``k[q]`` rows of each ``q`` in the order of all columns, which begin with ``q, dist``."""
+    keys = [(c, "ascending") for c in rows.column_names]
+    rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
+    if one_per_distance and rows.num_rows:
+        q, dist = (rows.column(c).to_numpy() for c in ("q", "dist"))
+        rows = rows.filter(pa.array(np.append(True, (np.diff(q) != 0) | (np.diff(dist) != 0))))
+    q = rows.column("q").to_numpy()
+    return rows.filter(pa.array(np.arange(len(q)) - np.searchsorted(q, q) < k[q]))
+
+
+def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray, one_per_distance: bool):
+    """A function on Arrow batches that gives the ``k[q]`` nearest rows of a task to each query ``q``.
+
+    ``numbers`` and ``words`` hold a column of the queries each. Batches have the same columns first,
+    then what is carried along, in whose order rows of equal distance are taken. A task keeps ``k``
+    rows per query, and of the rows it meets only looks at those within the ``k``-th distance so far.
+    """
+    kinds = [w.unique() for w in words]
+    asked = [pc.index_in(w, value_set=kind).to_numpy() for w, kind in zip(words, kinds)]
+
+    def gaps(x: list[np.ndarray], codes: list[np.ndarray], some: slice) -> np.ndarray:
+        total = np.zeros((len((x + codes)[0]), len(k[some])))
+        for a, b in zip(x, numbers):
+            gap = b[some] - a[:, None]
+            total += gap * gap
+        for a, b in zip(codes, asked):
+            total += a[:, None] != b[some]
+        return total
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, pa.Table] = {}
+        bound = np.full(len(k), np.inf)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROW_STRIP):
+                part = batch.slice(start, ROW_STRIP)
+                columns = part.columns
+                x = [c.to_numpy(zero_copy_only=False) for c in columns[: len(numbers)]]
+                if any(np.isnan(c).any() for c in x):
+                    raise ValueError("a numeric value is missing")
+                named = columns[len(numbers) : len(numbers) + len(kinds)]
+                codes = [pc.fill_null(pc.index_in(c, value_set=s), -1).to_numpy() for c, s in zip(named, kinds)]
+                carried = pa.Table.from_batches([part]).select(range(len(numbers) + len(kinds), len(columns)))
+                for at in range(0, len(k), QUERY_STRIP):
+                    some = slice(at, at + QUERY_STRIP)
+                    d, most = gaps(x, codes, some), k[some].max()
+                    if not one_per_distance and len(d) >= most and np.isinf(bound[some]).any():
+                        bound[some] = np.minimum(bound[some], np.partition(d, most - 1, axis=0)[most - 1])
+                    row, q = np.nonzero(d <= bound[some])
+                    if not len(row):
+                        continue
+                    close = carried.take(pa.array(row))
+                    found = pa.table([pa.array(q + at), pa.array(d[row, q]), *close.columns], ["q", "dist", *close.column_names])
+                    kept = pa.concat_tables([held[at], found]) if at in held else found
+                    kept = held[at] = first_per_query(kept, k, one_per_distance).combine_chunks()
+                    n = np.bincount(kept.column("q").to_numpy() - at, minlength=len(k[some]))
+                    full = n >= k[some]
+                    bound[some][full] = kept.column("dist").to_numpy()[(np.cumsum(n) - 1)[full]]
+        for kept in held.values():
+            yield from kept.to_batches()
+
+    return search

@@ -6,13 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from skeinset.functions.vectors import min_max, mixed_distance
+from skeinset.functions.kernels import nearest_rows
+from skeinset.functions.vectors import min_max
 
-QUERIES_PER_PASS = 1024
-BUCKETS_PER_NEIGHBOUR = 16
+QUERIES_PER_PASS = 50_000
 
 # The ranges the numeric columns are scaled by when none are given.
 DEFAULT_RANGES = {"age": (18.0, 77.0), "income": (5000.0, 67789.0), "children": (0.0, 5.0)}
@@ -36,7 +39,7 @@ class KnnResult:
 def knn_classify(
     train: DataFrame,
     queries: DataFrame,
-    k: int,
+    k: int | str,
     numeric: Mapping[str, tuple[float, float]] | None = None,
     nominal: Sequence[str] = DEFAULT_NOMINAL,
     label: str = "model",
@@ -47,84 +50,65 @@ def knn_classify(
 ) -> KnnResult:
     """Classify each row of ``queries`` by its ``k`` nearest rows of ``train``.
 
-    Distance: squared differences of the scaled numeric columns plus 0 or 1 per nominal column.
-    Equal distances go by ``id_cols``; ``one_per_distance`` keeps only the first of them.
+    ``k`` is a number or the name of a column of ``queries``. Distance: squared differences of the
+    scaled numeric columns plus 0 or 1 per nominal column. Equal distances go by ``id_cols``, nulls
+    first; ``one_per_distance`` keeps only the first of them. A numeric value that is null or NaN is
+    an error, and so is a ``k`` below 1.
 
-    Queries are sent to each task, at most ``queries_per_pass`` at once; more of them take
-    further passes over ``train``.
+    Queries are sent to each task, which keeps the best rows of each while it reads ``train`` once;
+    only those are shuffled. Beyond ``queries_per_pass`` queries there are further passes.
     """
-    if k < 1:
+    if isinstance(k, int) and k < 1:
         raise ValueError("k must be at least 1")
     numeric = DEFAULT_RANGES if numeric is None else numeric
     wanted = queries.select(
         F.col(query_id).alias("query_id"),
+        (F.col(k) if isinstance(k, str) else F.lit(k)).cast("bigint").alias("k"),
         *[min_max(c, *r).alias(f"q_{c}") for c, r in numeric.items()],
-        *[F.col(c).alias(f"q_{c}") for c in nominal],
+        *[F.col(c).cast(train.schema[c].dataType).cast("string").alias(f"q_{c}") for c in nominal],
     )
+    ids = [f"id_{i}" for i in range(len(id_cols))]
     rows = train.select(
-        *[F.col(c).alias(f"id_{i}") for i, c in enumerate(id_cols)],
-        F.col(label).alias("label"),
         *[min_max(c, *r).alias(f"t_{c}") for c, r in numeric.items()],
-        *[F.col(c).alias(f"t_{c}") for c in nominal],
-    )
-    ids = [f"id_{i}" for i in range(len(id_cols))]
-    dist = mixed_distance(
-        [(F.col(f"q.q_{c}"), F.col(f"t_{c}")) for c in numeric],
-        [(F.col(f"q.q_{c}"), F.col(f"t_{c}")) for c in nominal],
+        *[F.col(c).cast("string").alias(f"t_{c}") for c in nominal],
+        *[F.col(c).alias(i) for i, c in zip(ids, id_cols)],
+        F.col(label).alias("label"),
     )
-    known = F.coalesce(dist, F.raise_error(F.lit("a numeric value is missing")).cast("double"))
-    passes = []
-    for batch in _batches(wanted, queries_per_pass):
-        sent = batch.agg(F.collect_list(F.struct(*batch.columns))).scalar()
-        pairs = rows.withColumn("q", F.explode(sent)).select("q.query_id", known.alias("dist"), *ids, "label")
-        passes.append(_nearest(pairs, k, ids, one_per_distance))
+    passes = [_nearest(rows, asked, len(numeric), ids, one_per_distance) for asked in _batches(wanted, queries_per_pass)]
     found = reduce(DataFrame.unionByName, passes)
-    named = {f"id_{i}": c for i, c in enumerate(id_cols)}
-    return KnnResult(found.withColumnsRenamed(named))
+    return KnnResult(found.withColumnsRenamed(dict(zip(ids, id_cols))))
 
 
-def _batches(queries: DataFrame, size: int) -> list[DataFrame]:
-    """The queries in parts of at most about ``size`` rows each, split by hash."""
-    n = queries.count()
-    parts = max(1, -(-n // size))
-    if parts == 1:
-        return [queries]
+def _batches(queries: DataFrame, size: int) -> list[pa.Table]:
+    """The queries in parts of at most about ``size`` rows each, split by hash if there are more."""
+    first = queries.limit(size + 1).toArrow()
+    if first.num_rows <= size:
+        return [first]
+    parts = -(-queries.count() // size)
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
-    return [queries.filter(part == F.lit(p)) for p in range(parts)]
-
+    return [queries.filter(part == F.lit(p)).toArrow() for p in range(parts)]
 
-def _nearest(pairs: DataFrame, k: int, ids: Sequence[str], one_per_distance: bool) -> DataFrame:
-    """The ``k`` nearest rows per query, found without sorting the rows.
 
-    Rows fall into buckets by a hash of their ids, and each bucket keeps its lowest distance, a
-    number that pre-aggregates in the tasks. ``k`` buckets hold a row at or below the ``k``-th
-    lowest of those, so every neighbour lies within it. Few rows pass that bound; only they are
-    ranked. Where one row per distance is kept, buckets go by the distance itself, so that ``k``
-    buckets stand for ``k`` different distances.
-    """
-    buckets = BUCKETS_PER_NEIGHBOUR * k
-    hashed = ["dist"] if one_per_distance else list(ids)
-    slot = F.pmod(F.xxhash64(*hashed), F.lit(buckets))
-    lowest = pairs.groupBy("query_id", slot.alias("slot")).agg(F.min("dist").alias("dist"))
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy("dist"))
-    bounds = (
-        lowest.withColumn("rank", order)
-        .filter(F.col("rank") <= k)
-        .groupBy("query_id")
-        .agg(F.max("dist").alias("bound"), F.count(F.lit(1)).alias("seen"))
-        .select(F.col("query_id").alias("b_id"), F.when(F.col("seen") >= k, F.col("bound")).alias("bound"))
-    )
-    within: Column = F.col("query_id").eqNullSafe(F.col("b_id")) & (
-        F.col("bound").isNull() | (F.col("dist") <= F.col("bound"))
-    )
-    close = pairs.join(F.broadcast(bounds), within).select("query_id", "dist", *ids, "label")
+def _nearest(rows: DataFrame, asked: pa.Table, n_numeric: int, ids: Sequence[str], one_per_distance: bool) -> DataFrame:
+    """The nearest rows of each query: the best of each task, ranked."""
+    spark = rows.sparkSession
+    asked = asked.combine_chunks()
+    k, columns = asked.column("k"), [pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in asked.columns[2:]]
+    numbers = [c.to_numpy(zero_copy_only=False) for c in columns[:n_numeric]]
+    if k.null_count or any(n < 1 for n in k.to_pylist()):
+        raise ValueError("k must be at least 1")
+    if any(np.isnan(c.astype(float)).any() for c in numbers):
+        raise ValueError("a numeric value is missing")
+    search = nearest_rows(numbers, columns[n_numeric:], k.to_numpy(), one_per_distance)
+    carried = rows.schema.fields[-len(ids) - 1 :]
+    schema = StructType([StructField("q", LongType()), StructField("dist", DoubleType()), *carried])
+    best = rows.mapInArrow(search, schema)
     by_row = [*ids, "label"]
     if one_per_distance:
-        first = F.min(F.struct(*by_row)).alias("first")
-        close = close.groupBy("query_id", "dist").agg(first).select("query_id", "dist", "first.*")
-    window = Window.partitionBy("query_id").orderBy("dist", *by_row)
-    return (
-        close.withColumn("rank", F.row_number().over(window))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "dist", *ids, "label")
-    )
+        best = best.groupBy("q", "dist").agg(F.min(F.struct(*by_row)).alias("first")).select("q", "dist", "first.*")
+    most = max(k.to_pylist(), default=1)
+    window = Window.partitionBy("q").orderBy("dist", *by_row)
+    ranked = best.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= most)
+    named = pa.table({"q": pa.array(range(asked.num_rows), pa.int64()), "query_id": asked.column("query_id"), "k": k})
+    known = ranked.join(F.broadcast(spark.createDataFrame(named)), "q").filter("rank <= k")
+    return known.select("query_id", "rank", "dist", *ids, "label")

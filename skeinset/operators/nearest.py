@@ -87,12 +87,12 @@ def with_nearest(
         if len(features) != centroids.size:
             raise ValueError("points and centroids differ in their number of coordinates")
         return _inline(points, centroids, features, second, p)  # tests null and NaN itself
-    checked = points.withColumn("__point", _whole(as_vector(features), centroids.size))
+    checked = points.withColumn("__point", whole_vectors(as_vector(features), centroids.size))
     way = _by_tiles if centroids.rows is None else _inline if few else _batched
     return way(checked, centroids, "__point", second, p).drop("__point")
 
 
-def _whole(vector: Column, size: int) -> Column:
+def whole_vectors(vector: Column, size: int) -> Column:
     """``vector`` if it has ``size`` coordinates, none null or NaN; else an error."""
     broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
     good = vector.isNotNull() & (F.size(vector) == size) & ~broken

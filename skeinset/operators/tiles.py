@@ -100,7 +100,7 @@ def own_tiles(blocks: DataFrame, group: str, carried: Sequence[str]) -> DataFram
 def cross_tiles(left: DataFrame, right: DataFrame, left_carried: Sequence[str], right_carried: Sequence[str]) -> DataFrame:
     """Each block of ``left`` with each block of ``right`` of the same group."""
     targets = right.select("g", "n_blk").distinct().withColumnRenamed("n_blk", "n_right")
-    sent = left.join(targets, "g").select(
+    sent = left.join(F.broadcast(targets), "g").select(  # one row per group
         "g",
         F.col("blk").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_right") - 1)).alias("j"),

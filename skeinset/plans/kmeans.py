@@ -11,17 +11,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from skeinset.functions.kernels import distances, strips
 from skeinset.functions.vectors import Features, as_vector, coordinates, minkowski
 from skeinset.operators import nearest
-from skeinset.operators.nearest import Centroids, local_table, with_nearest
+from skeinset.operators.nearest import Centroids, local_table, whole_vectors, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.session import cut_lineage
 
+CHUNK = 100_000  # equal points that one task numbers at once
+
 _VECTOR = pa.list_(pa.float64())
 _HISTORY = pa.schema(
     [
@@ -62,14 +66,18 @@ class KMeansResult:
         return self.centroids.select("cid", "c", F.lit(state).alias("state"))
 
 
-def random_seeds(points: DataFrame, k: int, id_col: str, features: Features, seed: int = 0) -> DataFrame:
+def random_seeds(points: DataFrame, k: int, id_col: str | None, features: Features, seed: int = 0) -> DataFrame:
     """``cid, c``: ``k`` points drawn uniformly by a hash of their id, numbered in id order.
 
-    Each task keeps its ``k`` lowest hashes; nothing is shuffled but those. Only a ``k`` too large
-    for the driver takes a sort of all points.
+    Without an id, points are drawn by their value and a number among equal ones, and numbered in
+    that order. Each task keeps its ``k`` lowest hashes; nothing is shuffled but those. Only a ``k``
+    too large for the driver takes a sort of all points.
     """
-    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-    pool = points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), draw.alias("__draw"))
+    if id_col is None:
+        pool = _without_ids(points, features, seed)
+    else:
+        draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+        pool = points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), draw.alias("__draw"))
     first = pool.select(F.size("c").alias("size")).head()
     if first is not None and k * first["size"] > nearest.LOCAL_DOUBLES:
         drawn = number_rows(pool, ["__draw", "__id"], "__rank").filter(F.col("__rank") < k)
@@ -83,10 +91,22 @@ def random_seeds(points: DataFrame, k: int, id_col: str, features: Features, see
     return Centroids.local(points.sparkSession, [(i, r["c"]) for i, r in enumerate(rows)]).df
 
 
+def _without_ids(points: DataFrame, features: Features, seed: int) -> DataFrame:
+    """``__id, c, __draw`` of each point; equal ones are numbered in chunks, so that no task has all of them."""
+    counted = points.select(as_vector(features).alias("c")).groupBy("c").agg(F.count("*").alias("n"))
+    chunks = counted.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK})")))
+    spread = chunks.repartition("c", "chunk")
+    each = f"explode(sequence(chunk * {CHUNK} + 1, least(n, (chunk + 1) * {CHUNK}))) as i"
+    text = F.concat_ws(":", F.lit(str(seed)), F.array_join(F.col("c").cast("array<string>"), ","), F.col("i").cast("string"))
+    return spread.select("c", F.expr(each)).select(F.struct("c", "i").alias("__id"), "c", F.md5(text).alias("__draw"))
+
+
 def cluster_means(
     points: DataFrame, centroids: Centroids, features: Features, weight: str | None = None, p: float = 2
 ) -> DataFrame:
     """``cid, c, n``: the mean of the points nearest to each centroid that has any."""
+    if centroids.rows is not None and len(centroids.rows) * centroids.size > nearest.INLINE_DOUBLES:
+        return _means_of_sums(points, centroids, features, weight, p)
     near = with_nearest(points, centroids, features, p=p)
     heft = "1" if weight is None else f"`{weight}`"
     each = coordinates(features, centroids.size)
@@ -94,6 +114,43 @@ def cluster_means(
     return near.groupBy("cid").agg(F.expr(f"array({means}) as c"), F.expr(f"cast(sum({heft}) as bigint) as n"))
 
 
+def _means_of_sums(points: DataFrame, centroids: Centroids, features: Features, weight: str | None, p: float) -> DataFrame:
+    """As ``cluster_means``; the kernel that finds the nearest centroid also sums, one row per centroid and task."""
+    cids = np.array([cid for cid, _ in centroids.rows], dtype="int64")
+    table = np.array([c for _, c in centroids.rows], dtype="float64")
+    size = centroids.size
+    if not isinstance(features, str) and len(features) != size:
+        raise ValueError("points and centroids differ in their number of coordinates")
+
+    def run(batches):
+        sums, hefts = np.zeros(table.shape), np.zeros(len(table))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            w = batch.column(1).to_numpy(zero_copy_only=False)
+            for s in strips(x, len(table)):
+                best = distances(x[s], table, p).argmin(axis=1)
+                order = np.argsort(best, kind="stable")
+                at, first = np.unique(best[order], return_index=True)
+                sums[at] += np.add.reduceat(x[s][order] * w[s][order, None], first, axis=0)
+                hefts[at] += np.add.reduceat(w[s][order], first)
+        for i in np.flatnonzero(hefts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cids[i : i + 1]), pa.array(hefts[i : i + 1]), pa.array([sums[i]], _VECTOR)], names=["cid", "n", "sums"]
+            )
+
+    heft = F.lit(1.0) if weight is None else F.coalesce(F.col(weight).cast("double"), F.lit(0.0))
+    used = points.select(whole_vectors(as_vector(features), size).alias("v"), heft.alias("w"))
+    parts = used.mapInArrow(run, "cid bigint, n double, sums array<double>")
+    means = (
+        parts.select("cid", "n", F.posexplode("sums").alias("pos", "part"))
+        .groupBy("cid", "pos")
+        .agg((F.sum("part") / F.sum("n")).alias("c"), F.sum("n").alias("n"))
+    )
+    return means.groupBy("cid").agg(
+        F.expr("transform(array_sort(collect_list(struct(pos, c))), x -> x.c) as c"), F.expr("cast(max(n) as bigint) as n")
+    )
+
+
 def kmeans_step(
     points: DataFrame, centroids: DataFrame, features: Features, empty: str = "drop", p: float = 2
 ) -> DataFrame:
@@ -106,10 +163,7 @@ def _round(
     points: DataFrame, old: Centroids, features: Features, stop: str | None, empty: str, p: float = 2
 ) -> DataFrame:
     """``cid, c, n, prev, shift``. The shift is taken from the nearest old centroid or the own one."""
-    if empty not in ("drop", "keep"):
-        raise ValueError(f"unknown treatment of empty clusters {empty!r}")
-    if stop not in ("nearest", "aligned", None):
-        raise ValueError(f"unknown stop rule {stop!r}")
+    _check_rules(stop, empty)
     means = cluster_means(points, old, features, p=p)
     before = old.df.withColumnRenamed("c", "prev")
     if empty == "keep":
@@ -125,6 +179,29 @@ def _round(
     return moved.withColumn("shift", minkowski("c", "prev", p))
 
 
+def _check_rules(stop: str | None, empty: str) -> None:
+    if empty not in ("drop", "keep"):
+        raise ValueError(f"unknown treatment of empty clusters {empty!r}")
+    if stop not in ("nearest", "aligned", None):
+        raise ValueError(f"unknown stop rule {stop!r}")
+
+
+def _collected_round(points: DataFrame, old: Centroids, features: Features, stop: str | None, empty: str, p: float) -> list[tuple]:
+    """``cid, shift, c, prev, n`` of a round with its centroids on the driver, which has the former ones too."""
+    if stop == "nearest":
+        rows = _round(points, old, features, stop, empty, p).collect()
+        return [(r["cid"], r["shift"], r["c"], r["prev"], r["n"]) for r in rows]
+    _check_rules(stop, empty)
+    means = {r["cid"]: (r["c"], r["n"]) for r in cluster_means(points, old, features, p=p).collect()}
+    out = []
+    for cid, prev in old.rows:
+        if cid in means or empty == "keep":
+            c, n = means.get(cid, (prev, 0))
+            shift = float(distances(np.array([c], dtype=float), np.array([prev], dtype=float), p)[0, 0])
+            out.append((cid, shift, c, prev, n))
+    return out
+
+
 def kmeans(
     points: DataFrame,
     seeds: DataFrame,
@@ -155,16 +232,16 @@ def kmeans(
     converged = False
     try:
         for iteration in range(max_iter):
-            moved = _round(used, current, features, stop, empty, p)
             if current.rows is not None:
-                rows = moved.collect()
-                largest = max((r["shift"] for r in rows), default=0.0)
-                records += [(iteration, r["cid"], r["shift"], r["c"], r["prev"], r["n"]) for r in rows]
+                rows = _collected_round(used, current, features, stop, empty, p)
+                largest = max((shift for _, shift, *_ in rows), default=0.0)
+                records += [(iteration, *r) for r in rows]
                 last = local_table(spark, [r for r in records if r[0] == iteration], _HISTORY)
                 if not rows:
                     raise ValueError("no points given")
-                current = Centroids.local(spark, [(r["cid"], r["c"]) for r in rows])
+                current = Centroids.local(spark, [(cid, c) for cid, _, c, _, _ in rows])
             else:
+                moved = _round(used, current, features, stop, empty, p)
                 last = cut_lineage(moved.select(F.lit(iteration).alias("iteration"), "cid", "shift", "c", "prev", "n"))
                 largest = last.agg(F.max("shift")).head()[0]
                 if largest is None:
@@ -185,7 +262,7 @@ def kmeans(
 def lloyd(
     points: DataFrame,
     features: Features,
-    id_col: str,
+    id_col: str | None = None,
     k: int = 3,
     threshold: float = 0.0001,
     max_iter: int = 30,

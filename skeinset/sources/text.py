@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skeinset.functions.vectors import parse_vector
@@ -56,8 +56,17 @@ def read_training(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
-    """Records to classify, each with the number of neighbours to ask for in front."""
-    return read_delimited(spark, path, schemas.QUERY)
+    """Records to classify: ``query_id`` in file order, ``k`` (the neighbours to ask for) and the fields."""
+    line = F.concat_ws(",", F.col("at").cast("string"), "value").alias("value")
+    return parse_delimited(_in_order(spark, path).select(line), (("query_id", "bigint"), *schemas.QUERY))
+
+
+def _in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``value, at``: the lines of a small file or folder that are not blank, numbered by file name and place."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").coalesce(1)
+    kept = lines.withColumn("line", F.monotonically_increasing_id()).filter(F.trim("value") != "")
+    place = Window.orderBy("file_path", "file_block_start", "line")
+    return kept.select(F.trim("value").alias("value"), (F.row_number().over(place) - 1).cast("bigint").alias("at"))
 
 
 def parse_points(lines: DataFrame) -> DataFrame:
@@ -72,15 +81,13 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
-    """``cid, c`` in file order, or by the id in front where lines read ``id<TAB>vector``.
+    """``cid, c`` in the order of file names and lines, or by the id in front where lines read ``id<TAB>vector``.
 
     A centroid file is small and its order matters, so it is read as one partition.
     """
-    lines = spark.read.text(path, wholetext=False).coalesce(1)
-    kept = lines.select(F.trim("value").alias("line")).filter(F.col("line") != "")
-    parts = F.split("line", "\t")
+    parts = F.split("value", "\t")
     keyed = F.size(parts) > 1
-    return kept.withColumn("at", F.monotonically_increasing_id()).select(
+    return _in_order(spark, path).select(
         F.when(keyed, parts[0].try_cast("bigint")).otherwise(F.col("at")).alias("cid"),
         parse_vector(F.element_at(parts, -1)).alias("c"),
     )

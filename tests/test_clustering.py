@@ -186,6 +186,28 @@ def test_sum_of_squares_never_rises(spark):
     assert losses == sorted(losses, reverse=True)
 
 
+def test_seeds_and_lloyd_without_ids(spark):
+    df = spark.createDataFrame([([float(i % 3), 1.0],) for i in range(30)], "f array<double>")
+    drawn = [tuple(r) for r in random_seeds(df, 30, None, "f", 3).orderBy("cid").collect()]
+    assert drawn == [(i, [float(i // 10), 1.0]) for i in range(30)]
+    some = sorted(map(tuple, random_seeds(df, 4, None, "f", 3).collect()))
+    assert some == sorted(map(tuple, random_seeds(df.repartition(5), 4, None, "f", 3).collect()))
+    assert lloyd(df, "f", k=2).centroids.count() <= 2
+
+
+def test_means_of_wide_vectors(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, seeds = rng.normal(size=(200, 40)), rng.normal(size=(3, 40))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "f array<double>").repartition(4)
+    centres = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(seeds)], "cid bigint, c array<double>")
+    near = np.linalg.norm(x[:, None] - seeds, axis=2).argmin(axis=1)
+    for r in kmeans_step(df, centres, "f").collect():
+        mine = x[near == r["cid"]]
+        assert r["n"] == len(mine) and np.allclose(r["c"], mine.mean(axis=0))
+
+
 def test_random_seeds(spark):
     df = points_of(spark, cloud(100))
     a = [tuple(r) for r in random_seeds(df, 5, "id", "f", 3).orderBy("cid").collect()]

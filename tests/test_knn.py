@@ -72,6 +72,38 @@ def test_fewer_rows_than_neighbours(spark):
     assert knn_classify(train, ask(spark), 5, {"x": (0, 1)}, ["word"]).neighbours.count() == 1
 
 
+def test_neighbours_to_ask_for_by_query(spark):
+    rows = people(300)
+    asked = [(q, q + 1, *r[1:6]) for q, r in enumerate(people(5, seed=2))]
+    df = spark.createDataFrame(asked, ASK.replace("query_id int", "query_id int, k int"))
+    found = knn_classify(spark.createDataFrame(rows, TRAIN).repartition(4), df, "k").neighbours
+    train = [(r[0], *scaled(r[1:]), r[6]) for r in rows]
+    for q in asked:
+        got = [(r["dist"], r["id"], r["label"]) for r in found.filter(found.query_id == q[0]).orderBy("rank").collect()]
+        assert got == brute.neighbours(train, scaled(q[2:]), q[1], False)
+
+
+def test_one_scan_for_any_number_of_queries(spark):
+    df = spark.createDataFrame([(q, float(q), "a") for q in range(2000)], "query_id int, x double, word string")
+    found = knn_classify(small(spark, [(1, 1.0, None, "B"), (2, 1.0, "a", "A")]), df, 1, {"x": (0, 1)}, ["word"]).neighbours
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan
+    assert found.count() == 2000 and found.filter("id = 2").count() == 2000
+
+
+def test_nulls_are_equal_words(spark):
+    df = spark.createDataFrame([(0, 1.0, None)], "query_id int, x double, word string")
+    train = small(spark, [(1, 1.0, "a", "B"), (2, 1.0, None, "A")])
+    found = knn_classify(train, df, 2, {"x": (0, 1)}, ["word"]).neighbours
+    assert [(r["id"], r["dist"]) for r in found.orderBy("rank").collect()] == [(2, 0.0), (1, 1.0)]
+
+
+def test_no_queries_and_no_rows(spark):
+    options = dict(numeric={"x": (0, 1)}, nominal=["word"])
+    assert knn_classify(small(spark, [(1, 1.0, "a", "B")]), ask(spark).filter("false"), 1, **options).neighbours.count() == 0
+    assert knn_classify(small(spark, []), ask(spark), 1, **options).labels.count() == 0
+
+
 def test_many_copies_of_one_distance(spark):
     train = small(spark, [(i, 1.0, "a", "AB"[i % 2]) for i in range(3000)])
     found = knn_classify(train.repartition(16), ask(spark), 4, {"x": (0, 1)}, ["word"]).neighbours

@@ -59,6 +59,27 @@ def test_centroids_round_trip(spark, tmp_path, with_id):
     assert len([f for f in (tmp_path / "c").iterdir() if f.name.startswith("part")]) == 1
 
 
+def test_centroids_of_several_files_come_in_the_order_of_names(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "part-00001").write_text("\n".join(f"{i},0" for i in range(1, 51)) + "\n")
+    (folder / "part-00000").write_text("0,0\n\n")
+    back = text.read_centroids(spark, str(folder)).orderBy("cid").collect()
+    assert [(r["cid"], r["c"][0]) for r in back] == [(i, float(i)) for i in range(51)]
+
+
+def test_queries_have_numbers_in_file_order(spark, tmp_path):
+    path = lines(tmp_path, "3,20,5000,S,F,1", "", "1,30,6000,M,M,0")
+    rows = text.read_queries(spark, path).orderBy("query_id").collect()
+    assert [(r["query_id"], r["k"], r["age"], r["gender"]) for r in rows] == [(0, 3, 20.0, "F"), (1, 1, 30.0, "M")]
+
+
+def test_dump_prints_the_first_rows(spark, capsys):
+    sinks.dump(spark.range(5), 2)
+    out = capsys.readouterr().out
+    assert "|1 " in out and "|2 " not in out and "top 2 rows" in out
+
+
 def test_keyed_lines(spark, tmp_path):
     df = spark.createDataFrame([([1.0, 2.0], "reached")], "c array<double>, state string")
     sinks.write_keyed(df, str(tmp_path / "kv"), "c", "state")
