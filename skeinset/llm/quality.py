@@ -29,12 +29,11 @@ _SHAPE = bytes(
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled texts used, and with ``sample_bytes`` of each, driver and broadcast."""
+    """``sample`` bounds the labelled texts used, and with ``features`` of each, driver and broadcast."""
 
     features: int = 4096
     dimensions: int = 64
     sample: int = 4000
-    sample_bytes: int = 60_000_000
     neighbours: int = 25
     power: float = 4.0
     prior_weight: float = 0.05
@@ -100,11 +99,11 @@ class Model:
     prior: float
 
     @staticmethod
-    def fit(texts: list[bytes], labels: list[int], settings: Settings) -> Model:
-        n, size = len(texts), settings.features
+    def fit(found: list[tuple[np.ndarray, np.ndarray]], labels: list[int], settings: Settings) -> Model:
+        """A model from the features of texts, as ``counts`` gives them."""
+        n, size = len(found), settings.features
         table = np.zeros((n, size), dtype=np.float32)
-        for row, text in zip(table, texts):
-            at, value = counts(text, size)
+        for row, (at, value) in zip(table, found):
             row[at] = value
         rarity = np.log((1 + n) / (1 + (table > 0).sum(axis=0))).astype(np.float32) + 0.1
         table *= rarity
@@ -152,18 +151,25 @@ def train(
 ) -> Model:
     """A model from the documents that rows of ``labels`` (with ``id_col``) name, with labels of 0 or 1.
 
-    Of more than ``settings.sample`` such rows, those with the lowest hash of the id are used; of the
-    documents they name, those of no more than ``sample_bytes / sample`` bytes. Null ids, labels and texts
-    are left out. The chosen labels, of bounded number, are broadcast, so texts are read but not shuffled.
+    Of more than ``settings.sample`` such rows, those with the lowest hash of the id are used, whatever the
+    length of their texts: tasks make features of these, and only features come to the driver. Null ids, labels
+    and texts are left out. The chosen labels, of bounded number, are broadcast, so texts are not shuffled.
     """
+
+    @F.arrow_udf("binary")
+    def counted(texts: pa.Array) -> pa.Array:
+        found = [counts(t, settings.features) for t in as_bytes(texts)]
+        return pa.array([at.astype("<i4").tobytes() + value.astype("<f4").tobytes() for at, value in found], pa.binary())
+
     named = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     order = F.xxhash64(id_col)
     sample = named.orderBy(order, id_col, label_col).limit(settings.sample).select(id_col, F.col(label_col).alias("label"))
-    texts = docs.select(id_col, F.col(text_col).alias("text"))
-    short = texts.filter(F.octet_length("text") <= settings.sample_bytes // settings.sample)
-    rows = short.join(F.broadcast(sample), id_col).orderBy(order, id_col, "label", "text").limit(settings.sample)
-    got = rows.select("text", "label").collect()
-    return Model.fit([r["text"].encode() for r in got], [r["label"] for r in got], settings)
+    texts = docs.select(id_col, F.col(text_col).alias("text")).filter("text is not null")
+    rows = texts.join(F.broadcast(sample), id_col).select(id_col, "label", F.xxhash64("text").alias("tie"), counted("text").alias("found"))
+    got = rows.orderBy(order, id_col, "label", "tie").limit(settings.sample).collect()
+    halves = [(r["found"], len(r["found"]) // 2) for r in got]
+    found = [(np.frombuffer(f, "<i4", n // 4), np.frombuffer(f, "<f4", n // 4, n)) for f, n in halves]
+    return Model.fit(found, [r["label"] for r in got], settings)
 
 
 def quality_score(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
