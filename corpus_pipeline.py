@@ -10,7 +10,7 @@ from skeinset.llm.common import bounded_batches, keep, release
 from skeinset.llm.decontaminate import contamination
 from skeinset.llm.queries import packed
 from skeinset.llm.rules import quality_rules
-from skeinset.llm.shingles import shingle_groups, text_node
+from skeinset.llm.simhash import one_of_each_group
 from skeinset.llm.substrings import with_repeats_removed
 
 
@@ -20,25 +20,18 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, linked by a Jaccard similarity of 5-word shingles of 0.8 or more,
-    the row with the smallest id.
+    """Of each group of near-duplicates, linked by SimHash fingerprints of 4-word shingles that differ in 4 bits
+    or fewer, the row with the smallest id.
 
-    Rows without an id come after all others; at equal ids the row with the lowest hash stays, and of rows
-    equal in all columns one. Ids needn't be unique.
+    Rows without an id come after all others. Ids needn't be unique: one row stays of a group, not of an id.
+    Texts without words, null ones too, are one group.
     """
-    roots = shingle_groups(bounded_batches(docs), words=5, least=0.8)
-    marked = docs.withColumns({"__node": text_node("text"), "__row": F.xxhash64(*docs.columns)})
-    rows = marked.select("doc_id", "__node", "__row").join(roots, F.col("__node") == F.col("node"), "left")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "__row", "__node")
-    kept = rows.groupBy(F.coalesce("root", "__node").alias("__root")).agg(F.min(order).alias("first"))
-    kept = kept.select("__root", F.col("first.id").alias("__id"), "first.__row", "first.__node")
-    stay = marked.join(kept, ["__row", "__node"]).filter(F.col("doc_id").eqNullSafe(F.col("__id")))
-    return stay.dropDuplicates(["__root"]).select(*docs.columns)
+    return one_of_each_group(bounded_batches(docs), words=4, bits=4)
 
 
 def substrings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 35 words and more that occur elsewhere too; those with nothing
-    left go. ``n_chars`` is counted anew where the text has changed."""
+    left go. ``n_chars`` is counted anew where the text has changed. Null and empty texts have nothing to lose and stay."""
     cut = with_repeats_removed(bounded_batches(docs), window=35)
     changed = F.col("__n_removed") > 0
     out = [
@@ -49,13 +42,14 @@ def substrings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item. Null and empty texts hold none and stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(bounded_batches(docs), benchmark, found="__found").filter("not __found.contaminated").drop("__found")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 4096 tokens."""
+    """The pieces of all documents and their places in sequences of 4096 tokens. A null or empty text is one
+    piece, its end token."""
     return packed(bounded_batches(docs))
 
 

@@ -257,11 +257,34 @@ def near_duplicates(
     component. A null id takes part but is no component's id unless no other is there.
     """
     prints = keep(docs.select(F.col(id_col), fingerprint(text_col, words).alias("fp")), "prints")
+    known = _groups(prints, id_col, bits).select("fp", "component_id")
+    return prints.join(known, "fp").select(
+        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _groups(prints: DataFrame, id_col: str, bits: int) -> DataFrame:
+    """``fp, root, component_id`` for every fingerprint of ``prints``."""
     first = keep(prints.groupBy("fp").agg(F.min(id_col).alias("first")), "first")
     roots = components(links(first, bits))
     linked = first.join(roots, first.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = linked.join(least, "root").select("fp", "component_id")
-    return prints.join(known, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return linked.join(least, "root").select("fp", "root", "component_id")
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = MAX_BITS
+) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component: that with the smallest id, a null id last.
+
+    Rows are told apart by their place and not by their ids, which may be missing or repeat: of rows with equal
+    ids in one component one stays, and rows with equal ids in two components both do. All texts without words,
+    null ones too, are one component. No rows give none.
+    """
+    marked = keep(docs.withColumns({"__at": F.monotonically_increasing_id(), "__fp": fingerprint(text_col, words)}), "marked")
+    prints = marked.select("__at", F.col(id_col).alias("__id"), F.col("__fp").alias("fp"))
+    order = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__at").alias("at"))
+    lowest = prints.groupBy("fp").agg(F.min(order).alias("lowest"))
+    groups = _groups(prints, "__id", bits)
+    stay = lowest.join(groups, "fp").groupBy("root").agg(F.min("lowest").alias("lowest"))
+    return marked.join(stay.select(F.col("lowest.at").alias("__at")), "__at", "left_semi").select(*docs.columns)
