@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skeinset.llm import sql
 from skeinset.llm.common import bounded_batches, keep, scratch_path, utf8
 from skeinset.llm.decontaminate import contamination
+from skeinset.llm.fim import fill_in_middle, restored
 from skeinset.llm.packing import document_pieces, pack
 from skeinset.llm.quality import quality_score, train
 from skeinset.llm.rules import quality_rules
@@ -19,6 +20,7 @@ from skeinset.llm.substrings import repeats_removed
 from skeinset.llm.tokens import count_tokens
 from skeinset.llm.urlrules import judge
 from skeinset.llm.warc import register, with_revisits
+from skeinset.llm.whitening import whiten
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -160,6 +162,20 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"r.{n}").alias(n) for n in names])
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    made = docs.select("doc_id", fill_in_middle("doc_id", "text", seed=7, rate=100, spm_rate=50).alias("f"))
+    return made.select(
+        "doc_id", "f.n", "f.form", "f.prefix_chars", "f.middle_chars",
+        F.sha2("f.output", 256).alias("output_sha256"),
+        F.sha2(restored("f.output", "f.form"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_read(spark, sf_dir, "embeddings"), ["vec_id"], "embedding", components=4, scale=256.0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -168,7 +184,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     op1_warc, op2_sharding, op3_urlrules, op4_tokens, op5_simhash, op6_packing, op7_substrings, op8_decontaminate,
-    op9_quality, op10_rules, pipeline,
+    op9_quality, op10_rules, op12_fim, op13_whitening, pipeline,
 ]
 
 

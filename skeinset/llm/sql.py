@@ -1,7 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Words are what ASCII white space separates. Without SQL: op1 (a round trip through files), op2 (a hash of
-Spark's decides places), op4 and op6 (tokenizers), op5 (XXH64), op9 (a trained model), the pipeline.
+Spark's decides places), op4 and op6 (tokenizers), op5 (XXH64), op9 (a trained
+model), op13 (eigenvectors), the pipeline.
 """
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -79,9 +80,23 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 10 * covered <= 4 * n_words AND NOT too_long AS kept FROM f"""
 
+FILL_IN_MIDDLE = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+        ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM d),
+c AS (SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1))::BIGINT AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1))::BIGINT AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+             WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p"""
+
 SQL = {
     "op3_urlrules": URLS,
     "op7_substrings": SUBSTRINGS,
     "op8_decontaminate": CONTAMINATION,
     "op10_rules": RULES,
+    "op12_fim": FILL_IN_MIDDLE,
 }
