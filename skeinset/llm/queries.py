@@ -11,6 +11,7 @@ from skeinset.llm import sql
 from skeinset.llm.common import bounded_batches, keep, scratch_path, utf8
 from skeinset.llm.decontaminate import contamination
 from skeinset.llm.fim import fill_in_middle, restored
+from skeinset.llm.lmscore import Settings, score, train as train_lm
 from skeinset.llm.packing import document_pieces, pack
 from skeinset.llm.quality import quality_score, train
 from skeinset.llm.rules import quality_rules
@@ -162,6 +163,16 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"r.{n}").alias(n) for n in names])
 
 
+def op11_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = train_lm(docs.filter("not held_out"), settings=Settings(order=2))
+    scored = score(docs, model, ["doc_id", "held_out"])
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     made = docs.select("doc_id", fill_in_middle("doc_id", "text", seed=7, rate=100, spm_rate=50).alias("f"))
@@ -184,7 +195,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     op1_warc, op2_sharding, op3_urlrules, op4_tokens, op5_simhash, op6_packing, op7_substrings, op8_decontaminate,
-    op9_quality, op10_rules, op12_fim, op13_whitening, pipeline,
+    op9_quality, op10_rules, op11_lmscore, op12_fim, op13_whitening, pipeline,
 ]
 
 

@@ -2,7 +2,7 @@
 
 Words are what ASCII white space separates. Without SQL: op1 (a round trip through files), op2 (a hash of
 Spark's decides places), op4 and op6 (tokenizers), op5 (XXH64), op9 (a trained
-model), op13 (eigenvectors), the pipeline.
+model), op11 (a Bloom filter), op13 (eigenvectors), the pipeline.
 """
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
