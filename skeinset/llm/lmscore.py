@@ -25,15 +25,16 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from skeinset.llm.common import hold, keep, release, salted_join
+from skeinset.llm.common import as_bytes, hold, keep, salted_join
 
 END = "\n"  # no word has white space
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 24 << 20  # of texts whose n-grams are looked up together
+PART_BYTES = 4 << 20  # of texts that are split into tokens at once
+STRIP = 1 << 17
 LEVELS = 63
 _U = np.uint64
 
@@ -61,7 +62,8 @@ class Tokens(NamedTuple):
 
     @staticmethod
     def of(texts: pa.Array) -> Tokens:
-        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        lower = pa.array([t.lower() for t in as_bytes(texts)], pa.large_binary())  # A-Z, being bytes; and no slice of an array
+        parts = pc.ascii_split_whitespace(lower.cast(pa.large_string()))
         coded = parts.flatten().dictionary_encode()
         words, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         real = ids != pc.index(words, "").as_py()
@@ -85,11 +87,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_START = np.array([xxhash.xxh64_intdigest(b"\n\n")], dtype=_U)
+_BYTE = mixed(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
+_ODD = 0x2545F4914F6CDD1D
 
 
-def _one_word(words: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()], dtype=_U)
+def hashed_words(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word: sums of its bytes' numbers times powers of an odd one, all words at once."""
+    binary = pa.concat_arrays([words.cast(pa.large_binary())])
+    ends = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    raw = np.frombuffer(binary.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    power = np.cumprod(np.concatenate([[_U(1)], np.full(len(raw), _ODD, dtype=_U)]))
+    back = np.cumprod(np.concatenate([[_U(1)], np.full(len(raw), pow(_ODD, -1, 1 << 64), dtype=_U)]))
+    sums = np.concatenate([[_U(0)], np.cumsum(_BYTE[raw] * power[:-1])])
+    a, b = ends[:-1] - ends[0], ends[1:] - ends[0]
+    return mixed((sums[b] - sums[a]) * back[a] + (b - a).astype(_U))
+
+
+_START = hashed_words(pa.array(["\n\n"]))
 
 
 def longer_grams(tokens: Tokens, one: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -198,7 +212,7 @@ def _grams_of(order: int, n_shards: int):
             tokens = Tokens.of(batch.column(0))
             if not len(tokens.ids):
                 continue
-            one = _one_word(tokens.words)
+            one = hashed_words(tokens.words)
             n = np.bincount(tokens.ids, minlength=len(one))
             found = [(np.append(one[n > 0], _START), np.append(n[n > 0], len(tokens.ends)))]
             found += [np.unique(keys[has], return_counts=True) for has, keys in longer_grams(tokens, one, order)]
@@ -259,73 +273,101 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     return Model(settings, words, shards.select("shard", "bits"), n_shards, means, tokens, distinct)
 
 
+class _Part(NamedTuple):
+    """Texts of a group in small: columns for their rows, tokens, and each n-gram once."""
+
+    columns: list[pa.Array]
+    ids: np.ndarray
+    starts: np.ndarray
+    keys: list[np.ndarray]  # of words and the start, then of longer n-grams
+    backs: list[np.ndarray]  # which of those a token has
+    masks: list[np.ndarray]
+
+
 class _Scorer:
-    """Sums over the tokens of each text of a group, as a task needs them."""
+    """Sums over the tokens of each text, as a task needs them."""
 
     def __init__(self, model: Model, slices: Sequence, hot):
         self.settings, self.means, self.n_shards = model.settings, model.means, model.n_shards
-        self.tokens, self.denominator = model.tokens, model.denominator
-        self.slices, self.hot = slices, hot
+        self.denominator, self.slices, self.hot = model.denominator, slices, hot
+
+    def part(self, ids: list[pa.Array], texts: pa.Array) -> _Part:
+        """With the columns ``n_tokens, known, base, others``: the last two parts of counts not sent here, by word and times."""
+        tokens = Tokens.of(texts)
+        n, starts = np.diff(tokens.ends, prepend=0), tokens.starts
+        hot, counted = self.hot.value
+        found = pc.index_in(tokens.words.cast(pa.string()), value_set=hot)
+        sent = found.is_valid().to_numpy(zero_copy_only=False)
+        count = np.where(sent, np.append(counted, 0)[found.fill_null(-1).to_numpy()], 0)
+        own = np.where(sent, np.log10((count + 0.1) / self.denominator), 0.0)
+        known = np.add.reduceat((sent & (count > 0))[tokens.ids].astype(np.int64), starts)
+        base = np.add.reduceat(own[tokens.ids], starts)
+        rest = np.flatnonzero(~sent[tokens.ids])
+        text = np.repeat(np.arange(len(texts)), n)[rest]
+        pair, times = np.unique(text * len(tokens.words) + tokens.ids[rest], return_counts=True)
+        at, word = pair // len(tokens.words), pair % len(tokens.words)
+        others = pa.StructArray.from_arrays([tokens.words.take(pa.array(word)).cast(pa.string()), pa.array(times)], names=["word", "times"])
+        offsets = pa.array(np.searchsorted(at, np.arange(len(texts) + 1)).astype(np.int32))
+        columns = [*ids, pa.array(n), pa.array(known), pa.array(base), pa.ListArray.from_arrays(offsets, others)]
+        one = hashed_words(tokens.words)
+        keys, backs, masks = [np.append(one, _START)], [], []
+        for has, gram in longer_grams(tokens, one, self.settings.order):
+            some, back = np.unique(gram[has], return_inverse=True)
+            keys.append(some)
+            backs.append(back.astype(np.int32))
+            masks.append(has)
+        return _Part(columns, tokens.ids.astype(np.int32), starts, keys, backs, masks)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         shard = (keys % _U(self.n_shards)).astype(np.int64)
-        level = np.full(len(keys), -1, dtype=np.int64)
+        level = np.full(len(keys), -1, dtype=np.int8)
         for sent, first, last in self.slices:
             own = np.flatnonzero((shard >= first) & (shard < last))
-            if len(own):
-                # of several slices none stays in the worker's memory, as ``value`` would
-                part = sent.value if len(self.slices) == 1 else sent.load_from_path(sent._path)
-                level[own] = part.levels(keys[own], shard[own], self.settings.probes)
+            # of several slices none stays in the worker's memory, as ``value`` would
+            part = sent.value if len(self.slices) == 1 else sent.load_from_path(sent._path)
+            for i in range(0, len(own), STRIP):
+                some = own[i : i + STRIP]
+                level[some] = part.levels(keys[some], shard[some], self.settings.probes)
         return self.means[level + 1]
 
-    def logs(self, tokens: Tokens) -> np.ndarray:
-        """log10 of the model's probability of each token."""
-        one = _one_word(tokens.words)
-        keys, backs, masks = [np.append(one, _START)], [], []
-        for has, gram in longer_grams(tokens, one, self.settings.order):
-            some, back = np.unique(gram[has], return_inverse=True)
-            keys.append(some)
-            backs.append(back)
-            masks.append(has)
-        found = np.split(self.counts(np.concatenate(keys)), np.cumsum([len(k) for k in keys])[:-1])
-        shorter = found[0][tokens.ids]
+    def log_sums(self, part: _Part, found: list[np.ndarray]) -> np.ndarray:
+        """log10 of the model's probability of each text; ``found`` are the counts of ``part.keys``."""
+        shorter = found[0][part.ids]
         p = (shorter + 0.1) / self.denominator
-        first = np.zeros(len(tokens.ids), dtype=bool)
-        first[tokens.starts] = True
-        for has, back, counts in zip(masks, backs, found[1:]):
+        first = np.zeros(len(p), dtype=bool)
+        first[part.starts] = True
+        pull = self.settings.pull
+        for has, back, counts in zip(part.masks, part.backs, found[1:]):
             history = np.concatenate([[0.0], shorter[:-1]])
             history[first] = found[0][-1]
             own = np.zeros(len(p))
             own[has] = counts[back]
-            pull = self.settings.pull
             p = np.where(has, (np.minimum(own, history) + pull * p) / (history + pull), p)
             shorter = own
-        return np.log10(p)
+        return np.add.reduceat(np.log10(p), part.starts)
 
-    def columns(self, texts: pa.Array) -> list[pa.Array]:
-        """``n_tokens, score, known, base, others``: the last two parts of counts not sent here, by word and times."""
-        tokens = Tokens.of(texts)
-        n = np.diff(tokens.ends, prepend=0)
-        hot = self.hot.value
-        count = np.array([hot.get(w, -1) for w in tokens.words.to_pylist()])
-        sent = count >= 0
-        own = np.where(sent, np.log10((np.maximum(count, 0) + 0.1) / self.denominator), 0.0)
-        known = np.add.reduceat((sent & (count > 0))[tokens.ids].astype(np.int64), tokens.starts)
-        base = np.add.reduceat(own[tokens.ids], tokens.starts)
-        rest = np.flatnonzero(~sent[tokens.ids])
-        text = np.repeat(np.arange(len(texts)), n)[rest]
-        pair, times = np.unique(text * len(tokens.words) + tokens.ids[rest], return_counts=True)
-        at, word = pair // len(tokens.words), pair % len(tokens.words)
-        others = pa.StructArray.from_arrays([tokens.words.take(pa.array(word)).cast(pa.string()), pa.array(times)], names=["word", "times"])
-        offsets = pa.array(np.searchsorted(at, np.arange(len(texts) + 1)).astype(np.int32))
-        score = np.add.reduceat(self.logs(tokens), tokens.starts)
-        return [pa.array(n), pa.array(score), pa.array(known), pa.array(base), pa.ListArray.from_arrays(offsets, others)]
+    def columns(self, parts: list[_Part]) -> Iterator[list[pa.Array]]:
+        """The columns of each part of a group, whose n-grams are looked up together."""
+        sizes = [len(k) for p in parts for k in p.keys]
+        found = iter(np.split(self.counts(np.concatenate([k for p in parts for k in p.keys])), np.cumsum(sizes)[:-1]))
+        for part in parts:
+            yield [*part.columns, pa.array(self.log_sums(part, [next(found) for _ in part.keys]))]
+
+
+def _small(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts of about ``PART_BYTES``, or of one longer text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(sizes):
+        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + PART_BYTES, "right"))
+        yield slice(start, max(end, start + 1))
+        start = max(end, start + 1)
 
 
 _OTHERS = ArrayType(StructType([StructField("word", StringType()), StructField("times", LongType())]))
 _SUMS = [
-    StructField("n_tokens", LongType()), StructField("score", DoubleType()), StructField("__known", LongType()),
-    StructField("__base", DoubleType()), StructField("__others", _OTHERS),
+    StructField("n_tokens", LongType()), StructField("__known", LongType()), StructField("__base", DoubleType()),
+    StructField("__others", _OTHERS), StructField("score", DoubleType()),
 ]
 
 
@@ -343,28 +385,22 @@ def score(docs: DataFrame, model: Model, id_cols: Sequence[str], text_col: str =
         sent.append((spark.sparkContext.broadcast(part), part.first, part.first + len(part.starts) - 1))
     short = model.words.filter(F.octet_length("word") <= settings.hot_length)
     frequent = short.orderBy(F.desc("n"), "word").limit(settings.hot_words).collect()
-    hot = spark.sparkContext.broadcast({r["word"]: r["n"] for r in frequent})
+    hot = spark.sparkContext.broadcast((pa.array([r["word"] for r in frequent], pa.string()), np.array([r["n"] for r in frequent], dtype=np.int64)))
     scorer = _Scorer(model, sent, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("lm", int)
-
-        def scored(group: list[pa.RecordBatch]) -> pa.RecordBatch:
-            rows = pa.Table.from_batches(group).combine_chunks()
-            texts = rows.column(rows.num_columns - 1).combine_chunks()
-            ids = [rows.column(i).combine_chunks() for i in range(rows.num_columns - 1)]
-            return pa.RecordBatch.from_arrays([*ids, *scorer.columns(texts)], names=[*rows.column_names[:-1], *(f.name for f in _SUMS)])
-
-        group, size = [], 0
+        parts, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                group.append(batch)
-                size += batch.nbytes
-            if size >= GROUP_BYTES:
-                yield scored(group)
-                group, size = [], 0
-        if group:
-            yield scored(group)
+            for some in _small(batch.column(batch.num_columns - 1)):
+                *ids, texts = (c[some] for c in batch.columns)
+                parts.append(scorer.part(ids, texts))
+                size += texts.nbytes
+                if size >= GROUP_BYTES:
+                    yield from (pa.RecordBatch.from_arrays(c, names=schema.names) for c in scorer.columns(parts))
+                    parts, size = [], 0
+        if parts:
+            yield from (pa.RecordBatch.from_arrays(c, names=schema.names) for c in scorer.columns(parts))
 
     names = {c: f"__id{i}" for i, c in enumerate(id_cols)}
     rows = docs.select(

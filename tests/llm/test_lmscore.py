@@ -3,8 +3,10 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,34 @@ class Plain:
         return total
 
 
+def test_tokens_of_slices():
+    texts = pa.array(["", None, " Été  À\xa0b ", "a\x85b \x1c", "日本\v語", "END end"] * 3)
+    for a in range(len(texts)):
+        found = lmscore.Tokens.of(texts[a : a + 5])
+        words = found.words.to_pylist()
+        got = [[words[i] for i in found.ids[s:e]] for s, e in zip(found.starts, found.ends)]
+        assert got == [tokens_of(t) for t in texts[a : a + 5].to_pylist()]
+
+
+def test_hashes_of_words():
+    words = pa.array([f"w{i}" for i in range(50_000)] + ["", "a", "b", "ab", "ba", "aa", "a" * 999, "é", "日本"])
+    found = lmscore.hashed_words(words)
+    assert len(set(found.tolist())) == len(words)
+    assert np.array_equal(lmscore.hashed_words(words[100:200]), found[100:200]) and len(lmscore.hashed_words(words[:0])) == 0
+
+
+def test_parts_of_a_group(monkeypatch, spark, docs):
+    model = lmscore.train(docs)
+    whole = lmscore.score(docs, model, ["doc_id", "text"]).collect()
+    scorer = lmscore._Scorer(model, [(SimpleNamespace(value=s), s.first, s.first + len(s.starts) - 1) for s in model.slices()], SimpleNamespace(value=(pa.array([], pa.string()), np.zeros(0, dtype=np.int64))))
+    texts = pa.array([r.text for r in whole])
+    monkeypatch.setattr(lmscore, "PART_BYTES", 300)
+    parts = [scorer.part([], texts[some]) for some in lmscore._small(texts)]
+    assert len(parts) > 20
+    got = np.concatenate([c[-1].to_numpy() for c in scorer.columns(parts)])
+    assert np.allclose(got, [r.score for r in whole])
+
+
 @pytest.fixture(scope="module")
 def docs(spark, odd_docs):
     rng = random.Random(4)
