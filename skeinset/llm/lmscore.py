@@ -32,8 +32,8 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from skeinset.llm.common import as_bytes, hold, keep, salted_join
 
 END = "\n"  # no word has white space
-GROUP_BYTES = 24 << 20  # of texts whose n-grams are looked up together
-PART_BYTES = 4 << 20  # of texts that are split into tokens at once
+GROUP_BYTES = 12 << 20  # of texts whose n-grams are looked up together
+PART_BYTES = 2 << 20  # of texts that are split into tokens at once
 STRIP = 1 << 17
 LEVELS = 63
 _U = np.uint64
@@ -47,7 +47,7 @@ class Settings:
     pull: float = 100.0
     bits: int = 10
     probes: int = 5
-    shard_bytes: int = 8 << 20  # of training text to a shard of the filter
+    shard_bytes: int = 2 << 20  # of training text to a shard of the filter
     slice_bytes: int = 64 << 20  # of the filter in one broadcast
     hot_words: int = 100_000
     hot_length: int = 64
@@ -390,6 +390,7 @@ def score(docs: DataFrame, model: Model, id_cols: Sequence[str], text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("lm", int)
+        pa.default_memory_pool().release_unused()  # the worker may have served other stages
         parts, size = [], 0
         for batch in batches:
             for some in _small(batch.column(batch.num_columns - 1)):
