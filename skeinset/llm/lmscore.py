@@ -48,7 +48,7 @@ class Settings:
     bits: int = 10
     probes: int = 5
     shard_bytes: int = 2 << 20  # of training text to a shard of the filter
-    slice_bytes: int = 64 << 20  # of the filter in one broadcast
+    slice_bytes: int = 32 << 20  # of the filter in one broadcast
     hot_words: int = 100_000
     hot_length: int = 64
 
