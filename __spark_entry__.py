@@ -194,6 +194,15 @@ def kmeans_assign_lines(spark, sf):
     return near.select("l_orderkey", "l_linenumber", *MEASURES, "cid", F.round("dist", 4).alias("dist"))
 
 
+def nearest_of_many(spark, sf):
+    """More centroids than are sent at once, here beyond 1,000 numbers."""
+    parts = _read(spark, sf, "part").select(F.col("p_partkey").alias("cid"), V.as_vector(["p_retailprice", "p_size"]).alias("c"))
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    lines = _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", price.alias("price"), "l_quantity")
+    near = nearest.with_nearest(lines, nearest.Centroids.of(parts, 1000), ["price", "l_quantity"], second=True)
+    return near.select("l_orderkey", "l_linenumber", "cid", F.round("dist", 6).alias("dist"), F.round("second", 6).alias("second"))
+
+
 def random_init(spark, sf):
     seeds = _vector_seeds(_read(spark, sf, "embeddings"))
     return seeds.select("cid", F.col("c")[0].alias("c0"), F.col("c")[63].alias("c63"))
@@ -283,6 +292,23 @@ def agglomerate_rounds(spark, sf):
     return merges.select("round", "n_before", "i", "j", F.round("distance", 6).alias("distance"))
 
 
+def _hundredths(column):
+    return F.round(F.col(column) * 100).cast("double").alias(column)
+
+
+def agglomerate_discount_tax(spark, sf):
+    done = hc.agglomerate(_read(spark, sf, "lineitem").select(*map(_hundredths, MEASURES[2:])), MEASURES[2:])
+    merged = [F.round(F.col("merged")[i], 6).alias(f"m{i}") for i in range(2)]
+    return done.merges.select("round", "n_before", "i", "j", F.round("distance", 6).alias("distance"), *merged)
+
+
+def agglomerate_lineitem(spark, sf):
+    status = F.ascii("l_linestatus").cast("double").alias("status")
+    points = _read(spark, sf, "lineitem").select(F.col("l_quantity").cast("double"), _hundredths("l_discount"), status)
+    done = hc.agglomerate(points, ["l_quantity", "l_discount", "status"])
+    return done.merges.select("round", "n_before", "i", "j", F.round("distance", 6).alias("distance"))
+
+
 def closest_pair(spark, sf):
     suppliers = _read(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("cid"), V.as_vector(["s_acctbal", "s_nationkey"]).alias("c")
@@ -433,6 +459,7 @@ _QUERIES = [
     kmeans_centroids,
     kmeans_assignments,
     kmeans_assign_lines,
+    nearest_of_many,
     random_init,
     random_init_without_ids,
     silhouette_simple,
@@ -444,6 +471,8 @@ _QUERIES = [
     agglomerate_merges,
     agglomerate_centroids,
     agglomerate_rounds,
+    agglomerate_discount_tax,
+    agglomerate_lineitem,
     closest_pair,
     knn_classify,
     knn_neighbours,
@@ -665,6 +694,10 @@ def _sql() -> dict[str, str]:
         "kmeans_assign_lines": f"""SELECT * EXCLUDE (v, near) REPLACE (round(dist, 4) AS dist) FROM ({_nearest_sql(
             f"(SELECT l_orderkey, l_linenumber, {', '.join(MEASURES)}, [{', '.join(MEASURES)}] AS v FROM lineitem)",
             f'({line_seeds})', 4)})""",
+        "nearest_of_many": f"""SELECT l_orderkey, l_linenumber, b[1].i AS cid, round(b[1].d, 6) AS dist, round(b[2].d, 6) AS second FROM (
+            SELECT l_orderkey, l_linenumber, r, min({{'d': {_dist('v', 'c', 2)}, 'i': p_partkey}}, 2) AS b
+            FROM (SELECT l_orderkey, l_linenumber, row_number() OVER () AS r, [l_extendedprice / l_quantity, l_quantity] AS v FROM lineitem),
+                 (SELECT p_partkey, [p_retailprice, p_size::DOUBLE] AS c FROM part) GROUP BY ALL)""",
         "random_init": f"SELECT cid, c[1] AS c0, c[64] AS c63 FROM ({_EMB_SEEDS})",
         "random_init_without_ids": f"""WITH t AS (SELECT v, row_number() OVER (PARTITION BY v) AS i FROM ({_LINE_POINTS})),
             drawn AS (SELECT * FROM t ORDER BY md5('{VECTOR_SEED}:' || array_to_string(v, ',') || ':' || i) LIMIT {VECTOR_SEEDS})
@@ -720,6 +753,15 @@ def _sql() -> dict[str, str]:
             """SELECT DISTINCT (round - 1)::INT AS round, n_before, i, j, round(d, 6) AS distance
                FROM st WHERE round > 0""",
         ),
+        "agglomerate_discount_tax": _agglomerate_sql(
+            "SELECT [round(l_discount * 100)::DOUBLE, round(l_tax * 100)::DOUBLE] AS v FROM lineitem",
+            2,
+            1,
+            None,
+            """SELECT (round - 1)::INT AS round, n_before, i, j, round(d, 6) AS distance,
+               round(max_by(c[1], cid), 6) AS m0, round(max_by(c[2], cid), 6) AS m1
+               FROM st WHERE round > 0 GROUP BY st.round, n_before, i, j, d""",
+        ),
         "closest_pair": f"""SELECT round(p.d, 6) AS distance, p.i AS i, p.j AS j FROM (
             SELECT min({{'d': {_dist('a.v', 'b.v', 2)}, 'i': a.id, 'j': b.id}}) AS p
             FROM ({supplier_points}) a JOIN ({supplier_points}) b ON a.id < b.id)""",

@@ -108,3 +108,68 @@ def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray
             yield from kept.to_batches()
 
     return search
+
+
+def packed_centroids(rows: int, pivots: np.ndarray, p: float):
+    """A function on Arrow batches ``cid, c`` that makes one row of at most ``rows`` successive centroids."""
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        cids = table.column(0).to_numpy()
+        order = np.argsort(cids)  # the first of equal distances is then that of the lowest number
+        x = table.column(1).combine_chunks().flatten().to_numpy().reshape(len(cids), -1)[order]
+        away = distances(x, pivots, p)
+        columns = [cids[order], x.ravel(), away.min(axis=0), away.max(axis=0)]
+        return pa.RecordBatch.from_pydict({n: [c] for n, c in zip(("cids", "flat", "low", "high"), columns)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, rows - size)
+                batch = batch.slice(part.num_rows)
+                held.append(part)
+                size += part.num_rows
+                if size == rows:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def nearest_in_blocks(blocks: list, pivots: np.ndarray, p: float, second: bool):
+    """A function on vectors and ``cid, dist, second`` so far that takes some blocks of centroids into account.
+
+    A block is looked at by the points that may have a centroid in it as near as the ones they know, by the
+    triangle inequality on the distances to the pivots.
+    """
+    margin = 1 - 1e-9 if p >= 1 else 0.0  # orders below 1 have no triangle inequality
+
+    def nearest(vectors: pa.Array, known: pa.Array) -> pa.Array:
+        x = vectors.flatten().to_numpy().reshape(len(vectors), -1)
+        old = known.flatten()  # its fields, null where nothing is known
+        cid = pc.fill_null(old[0], -1).to_numpy().copy()
+        near, after = (pc.fill_null(f, np.inf).to_numpy().copy() for f in old[1:])
+        away = distances(x, pivots, p)
+        bounds = []
+        for sent in blocks:
+            low, high = np.array(sent.value[2]), np.array(sent.value[3])
+            bounds.append(np.maximum(np.maximum(low - away, away - high).max(axis=1), 0.0) * margin)
+        for b in np.argsort([bound.mean() if len(bound) else 0.0 for bound in bounds]).tolist():
+            cids, table = np.array(blocks[b].value[0]), blocks[b].value[1]
+            some = np.flatnonzero(bounds[b] <= (after if second else near))
+            for s in strips(x[some], len(table)):
+                at = some[s]
+                d = distances(x[at], table, p)
+                every, best = np.arange(len(d)), d.argmin(axis=1)
+                first = d[every, best]
+                d[every, best] = np.inf
+                next_one = d.min(axis=1)
+                wins = (first < near[at]) | ((first == near[at]) & (cids[best] < cid[at]))
+                after[at] = np.where(wins, np.minimum(near[at], next_one), np.minimum(after[at], first))
+                near[at[wins]], cid[at[wins]] = first[wins], cids[best[wins]]
+        return pa.StructArray.from_arrays([pa.array(cid), pa.array(near), pa.array(after, mask=~np.isfinite(after))], names=["cid", "dist", "second"])
+
+    return nearest

@@ -1,9 +1,11 @@
 """Nearest-centroid assignment: the inner loop of every clustering job here.
 
 Three ways, one result. Few centroids become arithmetic on primitive columns inside whole-stage
-code generation. More of them go to an Arrow-batched numpy kernel. Both send the centroids along
-with the task and shuffle nothing. Beyond ``LOCAL_DOUBLES`` the centroids are no longer fit to be
-sent to each task; distinct points and centroids then meet as tiles.
+code generation. More of them go to an Arrow-batched numpy kernel. Beyond ``LOCAL_DOUBLES`` the
+centroids are no longer fit to be sent whole: they are cut into blocks, along their distance to a pivot,
+and blocks are sent one after the other. A point carries the best and the second distance so far in its
+row, and passes over a block that the pivots show to be farther (triangle inequality). None of the three
+ways shuffles points.
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinset.functions.kernels import distances, strips
+from skeinset.functions.kernels import distances, nearest_in_blocks, packed_centroids, strips
 from skeinset.functions.vectors import Features, as_vector, coordinates
-from skeinset.operators import tiles
+from skeinset.session import cut_lineage
 
 INLINE_DOUBLES = 64
 LOCAL_DOUBLES = 1_000_000
+BLOCKS_PER_PASS = 8
+PIVOTS = 4
 
 CENTROID_SCHEMA = pa.schema([("cid", pa.int64()), ("c", pa.list_(pa.float64()))])
 
@@ -33,11 +37,15 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> Da
 
 @dataclass
 class Centroids:
-    """A centroid table ``cid, c``; ``rows`` holds it in the driver too when it is small."""
+    """A centroid table ``cid, c``; ``rows`` holds it in the driver too when it is small.
+
+    ``block_doubles`` bounds the numbers in a block of a table that is not, ``LOCAL_DOUBLES`` if not given.
+    """
 
     df: DataFrame
     size: int
     rows: list[tuple[int, list[float]]] | None
+    block_doubles: int | None = None
 
     @staticmethod
     def of(df: DataFrame, local_doubles: int | None = None) -> Centroids:
@@ -53,7 +61,7 @@ class Centroids:
         most = bound // max(seen["size"], 1)
         rows = plain.limit(most + 1).collect()
         if len(rows) > most:
-            return Centroids(plain, seen["size"], None)
+            return Centroids(plain, seen["size"], None, bound)
         return Centroids.local(df.sparkSession, [(r["cid"], r["c"]) for r in rows])
 
     @staticmethod
@@ -88,7 +96,7 @@ def with_nearest(
             raise ValueError("points and centroids differ in their number of coordinates")
         return _inline(points, centroids, features, second, p)  # tests null and NaN itself
     checked = points.withColumn("__point", whole_vectors(as_vector(features), centroids.size))
-    way = _by_tiles if centroids.rows is None else _inline if few else _batched
+    way = _by_blocks if centroids.rows is None else _inline if few else _batched
     return way(checked, centroids, "__point", second, p).drop("__point")
 
 
@@ -173,18 +181,51 @@ def _batched(
     )
 
 
-def _by_tiles(
+def _by_blocks(
     points: DataFrame, centroids: Centroids, features: Features, second: bool, p: float
 ) -> DataFrame:
-    rows = tiles.block_rows(centroids.size)
-    keyed = points.withColumn("__v", as_vector(features))
-    distinct = keyed.select("__v").distinct().withColumn("g", F.lit(0).cast("bigint"))
-    point_blocks = tiles.pack(distinct, "g", "__v", "__v", ["__v"], rows)
-    centre_blocks = tiles.pack(
-        centroids.df.withColumn("g", F.lit(0).cast("bigint")), "g", "c", "cid", ["cid"], rows
+    size, columns = centroids.size, points.columns
+    bound = LOCAL_DOUBLES if centroids.block_doubles is None else centroids.block_doubles
+    blocks, pivots = _blocks(centroids, max(16, bound // max(size, 1)), p)
+    none = "cast(null as struct<cid: bigint, dist: double, second: double>) as __n"
+    state = points.select("*", F.expr(none), as_vector(features).alias("__v"))
+    held, left = [], blocks.count()
+    for row in blocks.toLocalIterator():
+        held.append(points.sparkSession.sparkContext.broadcast((row["cids"], np.array(row["flat"]).reshape(-1, size), row["low"], row["high"])))
+        left -= 1
+        if len(held) < BLOCKS_PER_PASS and left:
+            continue
+        found = F.arrow_udf(nearest_in_blocks(held, np.array(pivots), p, second), "struct<cid: bigint, dist: double, second: double>")
+        state = state.withColumn("__n", found("__v", "__n"))
+        if left:  # the rows are written with what they carry, so that no more than these blocks are in memory at once
+            state = cut_lineage(state)
+            for sent in held:
+                sent.destroy()
+            held = []
+    return state.selectExpr(
+        *[f"`{c}`" for c in columns],
+        _never_null("__n.cid"),
+        "__n.dist as dist",
+        *(["__n.second as second"] if second else []),
     )
-    met = tiles.cross_tiles(point_blocks, centre_blocks, [], ["cid"])
-    near = tiles.nearest_of_all(met, centroids.size, second, p)
-    listed = point_blocks.select("blk", F.posexplode("__v").alias("pos", "__v"))
-    answer = listed.join(near, ["blk", "pos"]).select("__v", "cid", "dist", *(["second"] if second else []))
-    return keyed.join(answer, "__v").drop("__v")
+
+
+def _blocks(centroids: Centroids, rows: int, p: float) -> tuple[DataFrame, list[list[float]]]:
+    """The centroids as blocks ``cids, flat, low, high`` of at most ``rows``, and the pivots.
+
+    ``low`` and ``high`` are the bounds of the block's distances to each pivot. Pivots are far from each other
+    among a few centroids; blocks follow the distance to the first.
+    """
+    few = [r["c"] for r in centroids.df.orderBy(F.xxhash64("cid"), "cid").limit(16 * PIVOTS).collect()]
+    pivots = few[:1]
+    while len(pivots) < min(PIVOTS, len(few)):
+        pivots.append(few[int(distances(np.array(few), np.array(pivots), p).min(axis=1).argmax())])
+    table = np.array(pivots)
+
+    @F.arrow_udf("double")
+    def away(c: pa.Array) -> pa.Array:
+        return pa.array(distances(c.flatten().to_numpy().reshape(-1, table.shape[1]), table[:1], p)[:, 0])
+
+    ordered = centroids.df.withColumn("__r", away("c")).orderBy("__r", "cid").select("cid", "c")
+    schema = "cids array<bigint>, flat array<double>, low array<double>, high array<double>"
+    return cut_lineage(ordered.mapInArrow(packed_centroids(rows, table, p), schema)), pivots

@@ -1,7 +1,6 @@
 """All-against-all work on vectors, cut into bounded tiles.
 
-Mean distance inside a cluster, closest pair and nearest of very many centroids compare each
-vector of one set with each of another. Pairs of single rows are never produced: rows are hashed
+Mean distance inside a cluster and closest pair compare each vector of a set with each other. Pairs of single rows are never produced: rows are hashed
 into blocks of bounded size, each block travels as one row, blocks are joined with blocks, and a
 tile (one block against one block) is reduced to a few numbers inside the task. ``n`` rows give
 ``(n / block)**2`` tiles whatever the largest cluster is, spread by their own hash.
@@ -97,22 +96,6 @@ def own_tiles(blocks: DataFrame, group: str, carried: Sequence[str]) -> DataFram
     return _meet(left, right, blocks.count())
 
 
-def cross_tiles(left: DataFrame, right: DataFrame, left_carried: Sequence[str], right_carried: Sequence[str]) -> DataFrame:
-    """Each block of ``left`` with each block of ``right`` of the same group."""
-    targets = right.select("g", "n_blk").distinct().withColumnRenamed("n_blk", "n_right")
-    sent = left.join(F.broadcast(targets), "g").select(  # one row per group
-        "g",
-        F.col("blk").alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_right") - 1)).alias("j"),
-        F.col("x").alias("xl"),
-        *[F.col(c).alias(f"{c}_l") for c in left_carried],
-    )
-    met = right.select(
-        "g", F.col("blk").alias("j"), F.col("x").alias("xr"), *[F.col(c).alias(f"{c}_r") for c in right_carried]
-    )
-    return _meet(sent, met, right.count())
-
-
 def weighted_distance_sums(tiles: DataFrame, size: int) -> DataFrame:
     """``g, blk, pos, total``: for each row of each block, the sum of ``n * distance`` to its group."""
 
@@ -195,56 +178,3 @@ def closest_pair(tiles: DataFrame, size: int) -> DataFrame:
         .filter(F.col("best").isNotNull())
         .select("best.*")
     )
-
-
-def nearest_of_all(tiles: DataFrame, size: int, second: bool, p: float = 2) -> DataFrame:
-    """``blk, pos, cid, dist``: nearest centroid of each point over all centroid blocks.
-
-    With ``second`` the next smallest distance comes too. Each tile then gives its two best per
-    point, and the lists merged here hold two entries per block of centroids.
-    """
-    places = 2 if second else 1
-
-    def run(batches):
-        for batch in batches:
-            out = {"blk": [], "pos": [], "cid": [], "dist": []}
-            for r in range(batch.num_rows):
-                x = values(batch, "xl", r).reshape(-1, size)
-                y = values(batch, "xr", r).reshape(-1, size)
-                cids = values(batch, "cid_r", r)
-                blk = batch.column("i")[r].as_py()
-                for s in strips(x, len(y)):
-                    d = distances(x[s], y, p)
-                    at = np.arange(len(d))
-                    for _ in range(min(places, len(y))):
-                        a = d.argmin(axis=1)
-                        out["blk"].append(np.full(len(d), blk))
-                        out["pos"].append(at + s.start)
-                        out["cid"].append(cids[a])
-                        out["dist"].append(d[at, a])
-                        d[at, a] = np.inf
-            columns = {n: np.concatenate(v) if v else np.zeros(0) for n, v in out.items()}
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns["blk"].astype("int64")),
-                    pa.array(columns["pos"].astype("int32")),
-                    pa.array(columns["cid"].astype("int64")),
-                    pa.array(columns["dist"].astype("float64")),
-                ],
-                names=["blk", "pos", "cid", "dist"],
-            )
-
-    partial = tiles.mapInArrow(run, "blk bigint, pos int, cid bigint, dist double")
-    if not second:
-        best = partial.groupBy("blk", "pos").agg(F.min(F.struct("dist", "cid")).alias("near"))
-        return best.select("blk", "pos", "near.cid", "near.dist")
-    ranked = partial.groupBy("blk", "pos").agg(
-        F.sort_array(F.collect_list(F.struct("dist", "cid"))).alias("near")
-    )
-    return ranked.select(
-        "blk",
-        "pos",
-        F.col("near")[0]["cid"].alias("cid"),
-        F.col("near")[0]["dist"].alias("dist"),
-        F.get("near", F.lit(1))["dist"].alias("second"),
-    )

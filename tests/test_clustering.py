@@ -1,16 +1,19 @@
 import random
+from types import SimpleNamespace
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from skeinset.functions import vectors
+from skeinset.functions import kernels, vectors
 from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, assign, local_table, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.operators.silhouette import silhouette
-from skeinset.plans.agglomerate import agglomerate, closest_pair
+from skeinset.plans.agglomerate import _Blocks, agglomerate, closest_pair
 from skeinset.plans.kmeans import kmeans, kmeans_step, lloyd, random_seeds
 
 
@@ -27,12 +30,12 @@ def seeds_of(spark, rows):
     return local_table(spark, [(i, list(map(float, c))) for i, c in enumerate(rows)], nearest.CENTROID_SCHEMA)
 
 
-@pytest.fixture(params=["inline", "batched", "tiles"])
+@pytest.fixture(params=["inline", "batched", "blocks"])
 def way(request, monkeypatch):
     """Each of the three ways to assign points."""
     if request.param != "inline":
         monkeypatch.setattr(nearest, "INLINE_DOUBLES", 0)
-    if request.param == "tiles":
+    if request.param == "blocks":
         monkeypatch.setattr(nearest, "LOCAL_DOUBLES", 0)
     return request.param
 
@@ -67,17 +70,41 @@ def test_a_missing_coordinate_is_an_error(spark):
         assign(df, seeds_of(spark, [(0, 0)]), ["a", "b"]).collect()
 
 
-def test_tiles_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr("skeinset.operators.tiles.BLOCK_DOUBLES", 64)
-    rows, centres = cloud(120, 2, top=40), dict(enumerate(cloud(50, 2, seed=3, top=40)))
-    centres = {i: c for i, c in centres.items() if c not in [centres[j] for j in range(i)]}
-    table = local_table(spark, [(i, c) for i, c in centres.items()], nearest.CENTROID_SCHEMA)
-    out = with_nearest(points_of(spark, rows), Centroids.of(table, 0), "f", second=True).collect()
+@pytest.mark.parametrize("p,per_pass", [(2, 1), (2, 8), (1, 2), (0.5, 3)])
+def test_many_blocks_of_centroids(spark, monkeypatch, p, per_pass):
+    monkeypatch.setattr(nearest, "BLOCKS_PER_PASS", per_pass)
+    rows, centres = cloud(300, 2, top=40), list(enumerate(cloud(90, 2, seed=3, top=40)))
+    centres += [(100 + i, c) for i, c in centres[:9]]  # equal ones, of higher number
+    random.Random(1).shuffle(centres)
+    table = local_table(spark, centres, nearest.CENTROID_SCHEMA)
+    out = with_nearest(points_of(spark, rows), Centroids.of(table, 32), "f", second=True, p=p).collect()
     assert len(out) == len(rows)
+
+    def dist(a, b):
+        return brute.dist(a, b) if p == 2 else sum(abs(x - y) ** p for x, y in zip(a, b)) ** (1 / p)
+
     for r in out:
-        cid, d = brute.nearest(rows[r["id"]], centres)
-        second = min(brute.dist(rows[r["id"]], c) for i, c in centres.items() if i != cid)
-        assert (r["cid"], r["dist"], r["second"]) == (cid, d, second)
+        found = sorted((dist(rows[r["id"]], c), i) for i, c in centres)
+        assert (r["dist"], r["second"]) == pytest.approx((found[0][0], found[1][0])) and (p != 2 or r["cid"] == found[0][1])
+
+
+def test_points_of_many_centroids_are_not_shuffled(spark):
+    table = spark.range(200).selectExpr("id as cid", "array(cast(id as double)) as c")
+    points = spark.range(1000).selectExpr("id", "array(id / 7) as f")
+    near = with_nearest(points, Centroids.of(table, 32), "f")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert all(abs(r["dist"] - abs(r["f"][0] - r["cid"])) < 1e-9 and r["cid"] == round(r["f"][0]) for r in near.collect() if r["id"] < 1000)
+
+
+def test_far_blocks_are_skipped(monkeypatch):
+    compared, full = [], kernels.distances
+    monkeypatch.setattr(kernels, "distances", lambda x, y, p=2: compared.append(len(x) * len(y)) or full(x, y, p))
+    blocks = [SimpleNamespace(value=(list(range(i, i + 10)), np.arange(i, i + 10.0)[:, None], [float(i)], [i + 9.0])) for i in range(0, 100, 10)]
+    known = pa.array([None, None], pa.struct([("cid", pa.int64()), ("dist", pa.float64()), ("second", pa.float64())]))
+    got = kernels.nearest_in_blocks(blocks, np.zeros((1, 1)), 2, False)(pa.array([[3.2], [3.9]]), known).to_pylist()
+    assert [g["cid"] for g in got] == [3, 4]
+    assert sum(compared) == 2 + 20  # the pivot, and one block of ten
 
 
 def test_step_drops_or_keeps_empty_clusters(spark):
@@ -282,6 +309,39 @@ def test_agglomerate_equals_brute_force(spark):
     assert counts == sorted(set(counts), reverse=True)
 
 
+@pytest.mark.parametrize("n,size,top,rebase", [(99, 2, 11, 64), (60, 1, 1000, 3), (120, 2, 10**6, 64), (70, 3, 5, 10)])
+def test_whole_runs_equal_brute_force(spark, n, size, top, rebase, monkeypatch):
+    monkeypatch.setattr("skeinset.plans.agglomerate.REBASE", rebase)
+    monkeypatch.setattr("skeinset.plans.agglomerate.BLOCK_POINTS", 20)
+    rows = cloud(n, size, seed=n, top=top)
+    rows += rows[: n // 3] * 2
+    merges, last, means = brute.agglomerate(rows)
+    done = agglomerate(points_of(spark, rows), "f")
+    got = done.merges.orderBy("round").collect()
+    assert [(r["i"], r["j"]) for r in got] == [m[:2] for m in merges]
+    assert [r["distance"] for r in got] == pytest.approx([m[2] for m in merges])
+    assert {r["cid"]: pytest.approx(r["c"]) for r in done.last_midpoints.collect()} == last
+    assert {r["cid"]: r["n"] for r in done.centroids.collect()} == {max(last): len(rows)}
+    assert [r["c"] for r in done.centroids.collect()] == [pytest.approx(c) for c in means.values()]
+
+
+@pytest.mark.parametrize("target,rounds", [(1, 0), (1, 7), (9, None), (9, 12), (60, None)])
+def test_runs_that_end_early(spark, target, rounds):
+    rows = cloud(50, 2, seed=3, top=40)
+    merges, _, _ = brute.agglomerate(rows, target=target)
+    done = agglomerate(points_of(spark, rows), "f", target_k=target, max_rounds=rounds)
+    assert [(r["i"], r["j"]) for r in done.merges.orderBy("round").collect()] == [m[:2] for m in merges][:rounds]
+    if rounds is None:
+        assert done.centroids.count() >= min(target, done.last_midpoints.count()) - 1
+
+
+def test_few_jobs_and_few_comparisons(spark, monkeypatch):
+    calls, full = [], _Blocks.first_surprise
+    monkeypatch.setattr(_Blocks, "first_surprise", lambda self, steps: calls.append(len(steps)) or full(self, steps))
+    done = agglomerate(points_of(spark, [(i * i,) for i in range(200)]), "f", target_k=120)
+    assert done.n_rounds == 80 and len(calls) <= 40
+
+
 @pytest.mark.parametrize("local", [1_000_000, 0])
 def test_closest_pair(spark, local, monkeypatch):
     monkeypatch.setattr("skeinset.operators.tiles.BLOCK_DOUBLES", 64)
