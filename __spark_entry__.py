@@ -22,7 +22,7 @@ from skeinset.operators import knn as knn_ops  # noqa: E402
 from skeinset.operators import nearest, silhouette, social  # noqa: E402
 from skeinset.plans import agglomerate as hc  # noqa: E402
 from skeinset.plans import kmeans as km  # noqa: E402
-from skeinset.sources import schemas, sinks, text  # noqa: E402
+from skeinset.sources import folders, schemas, sinks, text  # noqa: E402
 
 try:
     from skeinset.llm import queries as llm_queries  # noqa: E402
@@ -390,11 +390,14 @@ def knn_parsed_queries(spark, sf):
 # --- text formats ----------------------------------------------------------------------------
 
 
-def text_pages(spark, sf):
-    rows = _read(spark, sf, "customer").select(
+def _page_rows(spark, sf):
+    return _read(spark, sf, "customer").select(
         "c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")), "c_acctbal", "c_mktsegment"
     )
-    return text.parse_delimited(sinks.to_lines(rows), schemas.PAGES)
+
+
+def text_pages(spark, sf):
+    return text.parse_delimited(sinks.to_lines(_page_rows(spark, sf)), schemas.PAGES)
 
 
 def text_points(spark, sf):
@@ -417,6 +420,46 @@ def text_activity(spark, sf):
     return text.parse_delimited(sinks.to_lines(rows), schemas.ACTIVITY)
 
 
+# --- sinks, written and read back ------------------------------------------------------------
+
+
+def sink_delimited(spark, sf):
+    path = folders.scratch_folder(spark, "sink") + "/pages"
+    sinks.write_delimited(_read(spark, sf, "nation"), path)
+    sinks.write_delimited(_page_rows(spark, sf), path, overwrite=True)
+    return text.read_pages(spark, path)
+
+
+def _supplier_points(spark, sf):
+    return _read(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("cid"), V.as_vector(["s_acctbal", "s_nationkey"]).alias("c")
+    )
+
+
+def sink_keyed(spark, sf):
+    path = folders.scratch_folder(spark, "sink") + "/points"
+    sinks.write_keyed(_supplier_points(spark, sf), path, "cid", "c")
+    read = text.read_centroids(spark, path)
+    return read.select(F.col("cid").alias("s_suppkey"), F.col("c")[0].alias("s_acctbal"), F.col("c")[1].alias("s_nationkey"))
+
+
+def sink_centroids(spark, sf):
+    path = folders.scratch_folder(spark, "sink") + "/centroids"
+    points = _supplier_points(spark, sf)
+    sinks.write_centroids(points, path, with_id=True)
+    sinks.write_centroids(points, path)
+    ranked = text.read_centroids(spark, path)
+    return ranked.select("cid", F.col("c")[0].alias("s_acctbal"), F.col("c")[1].alias("s_nationkey"))
+
+
+def kmeans_resumed(spark, sf):
+    """The rounds of a run that ended after two and was taken up again."""
+    path = folders.scratch_folder(spark, "rounds")
+    _fit(spark, sf, max_iter=2, rounds_to=path)
+    shift = F.round("shift", 3).alias("shift")
+    return _flat(_fit(spark, sf, rounds_to=path).history, "iteration", "n", shift, digits=3)
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
@@ -482,6 +525,10 @@ _QUERIES = [
     text_points,
     text_follows,
     text_activity,
+    sink_delimited,
+    sink_keyed,
+    sink_centroids,
+    kmeans_resumed,
     vector_functions,
 ]
 
@@ -559,6 +606,9 @@ def _flat_sql(*others: str, digits: int = 4) -> str:
     return ", ".join(["cid", *[f"round(c[{i + 1}], {digits}) AS c{i}" for i in range(4)], *others])
 
 
+_PAGES = """SELECT c_custkey::INT AS id, c_name AS "userNickname",
+            CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "userJob", trunc(c_acctbal)::INT AS "userRegionCode",
+            c_mktsegment AS "userHobby" FROM customer"""
 _LAST = "WHERE it = (SELECT max(it) FROM k)"
 
 
@@ -635,6 +685,9 @@ def oracle_sql() -> dict[str, str]:
 def _sql() -> dict[str, str]:
     line_seeds = f"SELECT * FROM (VALUES {_rows_sql(SEEDS)}) t(cid, c)"
     far_seeds = f"SELECT * FROM (VALUES {_rows_sql([*SEEDS, FAR_SEED])}) t(cid, c)"
+    history = _line_fit(
+        f"SELECT {_flat_sql('(it - 1)::INT AS iteration', 'n', 'round(shift, 3) AS shift', digits=3)} FROM k WHERE it > 0"
+    )
     supplier_points = "SELECT s_suppkey AS id, [s_acctbal, s_nationkey::DOUBLE] AS v FROM supplier"
     supplier_centres = f"SELECT * FROM (VALUES {_rows_sql(SUPPLIER_CENTRES)}) t(cid, c)"
     emb_ids = "SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings"
@@ -679,9 +732,8 @@ def _sql() -> dict[str, str]:
         "kmeans_keep_empty": keep,
         "kmeans_fixed_rounds": _line_fit(f"SELECT {_flat_sql('n')} FROM k {_LAST}", stop=None),
         "kmeans_converged": _line_fit(f"SELECT {_flat_sql('n', 'done AS converged')} FROM k {_LAST}"),
-        "kmeans_history": _line_fit(
-            f"SELECT {_flat_sql('(it - 1)::INT AS iteration', 'n', 'round(shift, 3) AS shift', digits=3)} FROM k WHERE it > 0"
-        ),
+        "kmeans_history": history,
+        "kmeans_resumed": history,
         "kmeans_aligned": _line_fit(
             f"SELECT {_flat_sql('n', 'done AS converged', 'it::INT AS n_iter')} FROM k {_LAST}", 30, "aligned", 0.0001
         ),
@@ -800,9 +852,11 @@ def _sql() -> dict[str, str]:
                 + CASE WHEN q.gender = t.gender THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS dist FROM t, q),
             near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, c_custkey)::INT AS rank FROM pairs)
             SELECT query_id::INT AS query_id, rank, round(dist, 9) AS dist, c_custkey, label FROM near WHERE rank <= k""",
-        "text_pages": """SELECT c_custkey::INT AS id, c_name AS "userNickname",
-            CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "userJob", trunc(c_acctbal)::INT AS "userRegionCode",
-            c_mktsegment AS "userHobby" FROM customer""",
+        "text_pages": _PAGES,
+        "sink_delimited": _PAGES,
+        "sink_keyed": "SELECT s_suppkey, s_acctbal, s_nationkey::DOUBLE AS s_nationkey FROM supplier",
+        "sink_centroids": """SELECT (row_number() OVER (ORDER BY s_suppkey) - 1)::BIGINT AS cid, s_acctbal,
+            s_nationkey::DOUBLE AS s_nationkey FROM supplier""",
         "text_follows": """SELECT o_orderkey::INT AS "colRel", o_custkey::INT AS id1, (o_custkey + 1)::INT AS id2,
             trunc(o_totalprice)::INT AS date, o_orderpriority AS "desc" FROM orders""",
         "text_activity": """SELECT event_id::INT AS "logId", user_id::INT AS "byWho",

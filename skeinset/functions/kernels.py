@@ -62,12 +62,23 @@ def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray
 
     ``numbers`` and ``words`` hold a column of the queries each. Batches have the same columns first,
     then what is carried along, in whose order rows of equal distance are taken. A task keeps ``k``
-    rows per query, and of the rows it meets only looks at those within the ``k``-th distance so far.
+    rows per query, and of the rows it meets only looks at those within the ``k``-th distance so far. Of a
+    strip of rows, least and greatest values and the words that occur show which queries it is too far from.
     """
     kinds = [w.unique() for w in words]
     asked = [pc.index_in(w, value_set=kind).to_numpy() for w, kind in zip(words, kinds)]
 
-    def gaps(x: list[np.ndarray], codes: list[np.ndarray], some: slice) -> np.ndarray:
+    def least(x: list[np.ndarray], codes: list[np.ndarray], some: slice) -> np.ndarray:
+        """No row of a strip is nearer to a query than this, up to rounding."""
+        total = np.zeros(len(k[some]))
+        for a, b in zip(x, numbers):
+            gap = np.maximum(np.maximum(a.min() - b[some], b[some] - a.max()), 0.0)
+            total += gap * gap
+        for a, b in zip(codes, asked):
+            total += ~np.isin(b[some], a)
+        return total * (1 - 1e-9)
+
+    def gaps(x: list[np.ndarray], codes: list[np.ndarray], some: np.ndarray) -> np.ndarray:
         total = np.zeros((len((x + codes)[0]), len(k[some])))
         for a, b in zip(x, numbers):
             gap = b[some] - a[:, None]
@@ -91,6 +102,9 @@ def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray
                 carried = pa.Table.from_batches([part]).select(range(len(numbers) + len(kinds), len(columns)))
                 for at in range(0, len(k), QUERY_STRIP):
                     some = slice(at, at + QUERY_STRIP)
+                    some = at + np.flatnonzero(least(x, codes, some) <= bound[some])
+                    if not len(some):
+                        continue
                     d, most = gaps(x, codes, some), k[some].max()
                     if not one_per_distance and len(d) >= most and np.isinf(bound[some]).any():
                         bound[some] = np.minimum(bound[some], np.partition(d, most - 1, axis=0)[most - 1])
@@ -98,12 +112,13 @@ def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray
                     if not len(row):
                         continue
                     close = carried.take(pa.array(row))
-                    found = pa.table([pa.array(q + at), pa.array(d[row, q]), *close.columns], ["q", "dist", *close.column_names])
+                    found = pa.table([pa.array(some[q]), pa.array(d[row, q]), *close.columns], ["q", "dist", *close.column_names])
                     kept = pa.concat_tables([held[at], found]) if at in held else found
                     kept = held[at] = first_per_query(kept, k, one_per_distance).combine_chunks()
-                    n = np.bincount(kept.column("q").to_numpy() - at, minlength=len(k[some]))
-                    full = n >= k[some]
-                    bound[some][full] = kept.column("dist").to_numpy()[(np.cumsum(n) - 1)[full]]
+                    strip = slice(at, at + QUERY_STRIP)
+                    n = np.bincount(kept.column("q").to_numpy() - at, minlength=len(k[strip]))
+                    full = n >= k[strip]
+                    bound[strip][full] = kept.column("dist").to_numpy()[(np.cumsum(n) - 1)[full]]
         for kept in held.values():
             yield from kept.to_batches()
 

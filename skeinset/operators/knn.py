@@ -14,6 +14,8 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from skeinset.functions.kernels import nearest_rows
 from skeinset.functions.vectors import min_max
+from skeinset.operators.ranks import number_rows
+from skeinset.session import cut_lineage
 
 QUERIES_PER_PASS = 50_000
 
@@ -56,7 +58,7 @@ def knn_classify(
     an error, and so is a ``k`` below 1.
 
     Queries are sent to each task, which keeps the best rows of each while it reads ``train`` once;
-    only those are shuffled. Beyond ``queries_per_pass`` queries there are further passes.
+    only those are shuffled. Beyond ``queries_per_pass`` queries there are further passes, each written out.
     """
     if isinstance(k, int) and k < 1:
         raise ValueError("k must be at least 1")
@@ -74,19 +76,25 @@ def knn_classify(
         *[F.col(c).alias(i) for i, c in zip(ids, id_cols)],
         F.col(label).alias("label"),
     )
-    passes = [_nearest(rows, asked, len(numeric), ids, one_per_distance) for asked in _batches(wanted, queries_per_pass)]
-    found = reduce(DataFrame.unionByName, passes)
+    found = _in_passes(rows, wanted, len(numeric), ids, one_per_distance, queries_per_pass)
     return KnnResult(found.withColumnsRenamed(dict(zip(ids, id_cols))))
 
 
-def _batches(queries: DataFrame, size: int) -> list[pa.Table]:
-    """The queries in parts of at most about ``size`` rows each, split by hash if there are more."""
+def _in_passes(
+    rows: DataFrame, queries: DataFrame, n_numeric: int, ids: Sequence[str], one_per_distance: bool, size: int
+) -> DataFrame:
+    """One pass over ``rows`` per ``size`` queries. The driver holds the queries of one pass, whose result is
+    written before those of the next are taken. A pass is a range of row numbers, so that it doesn't matter if
+    query ids are null or repeat."""
     first = queries.limit(size + 1).toArrow()
     if first.num_rows <= size:
-        return [first]
-    parts = -(-queries.count() // size)
-    part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
-    return [queries.filter(part == F.lit(p)).toArrow() for p in range(parts)]
+        return _nearest(rows, first, n_numeric, ids, one_per_distance)
+    numbered = number_rows(queries, [], "__row")
+    total, passes = numbered.count(), []
+    for start in range(0, total, size):
+        asked = numbered.filter(F.col("__row").between(start, start + size - 1)).drop("__row").toArrow()
+        passes.append(cut_lineage(_nearest(rows, asked, n_numeric, ids, one_per_distance)))
+    return reduce(DataFrame.unionByName, passes)
 
 
 def _nearest(rows: DataFrame, asked: pa.Table, n_numeric: int, ids: Sequence[str], one_per_distance: bool) -> DataFrame:

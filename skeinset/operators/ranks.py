@@ -11,12 +11,12 @@ from skeinset.session import cut_lineage
 
 
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``df`` with numbers 0, 1, ... in ``order`` as column ``name``.
+    """``df`` with numbers 0, 1, ... in ``order`` as column ``name``; in any order if that is empty.
 
     A range-partitioned sort gives each row a rank inside its partition; the partitions' row
     counts, one number each, turn those into overall ranks.
     """
-    ranked = cut_lineage(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
+    ranked = cut_lineage((df.orderBy(*order) if order else df).withColumn("__at", F.monotonically_increasing_id()))
     part, rank = F.shiftright("__at", 33).alias("__part"), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     starts, total = [], 0
     for row in sorted(ranked.groupBy(part).count().collect()):

@@ -8,6 +8,7 @@ they stay a table and each round ends in a checkpoint.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,6 +24,7 @@ from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, local_table, whole_vectors, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.session import cut_lineage
+from skeinset.sources.folders import Folder, commit
 
 CHUNK = 100_000  # equal points that one task numbers at once
 
@@ -213,6 +215,7 @@ def kmeans(
     cache: bool = False,
     local_doubles: int | None = None,
     p: float = 2,
+    rounds_to: str | None = None,
 ) -> KMeansResult:
     """Rounds until every shift is at most ``threshold``, ``max_iter`` at most.
 
@@ -220,11 +223,16 @@ def kmeans(
     against its own predecessor, ``None`` runs all rounds. ``empty='drop'`` lets a centroid
     without points go, ``'keep'`` leaves it in place. ``p`` is the order of the distance. A round re-reads the feature columns only;
     ``cache=True`` pays off where the points are costly to derive.
+
+    ``rounds_to`` names a folder that takes each round as it ends, in ``iteration=0`` and so on. A run that finds
+    rounds there goes on after the last one; the folder must be of a run of the same seeds and rules, over which
+    only ``max_iter`` may differ. ``history`` then reads from it.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = points.sparkSession
     current = Centroids.of(seeds, local_doubles)
+    done = _Rounds(spark, rounds_to, seeds, dict(features=features, threshold=threshold, stop=stop, empty=empty, p=p))
     used = points.select(features if isinstance(features, str) else list(features))
     if cache:
         used = used.persist(StorageLevel.MEMORY_AND_DISK)
@@ -232,7 +240,11 @@ def kmeans(
     converged = False
     try:
         for iteration in range(max_iter):
-            if current.rows is not None:
+            if iteration < done.count:
+                last = done.read(iteration)
+                largest = last.agg(F.max("shift")).head()[0]
+                current = Centroids.of(last.select("cid", "c"), local_doubles)
+            elif current.rows is not None:
                 rows = _collected_round(used, current, features, stop, empty, p)
                 largest = max((shift for _, shift, *_ in rows), default=0.0)
                 records += [(iteration, *r) for r in rows]
@@ -248,17 +260,53 @@ def kmeans(
                     raise ValueError("no points given")
                 tables.append(last)
                 current = Centroids(last.select("cid", "c"), current.size, None)
+            if iteration >= done.count:
+                done.write(iteration, last)
             if stop is not None and largest <= threshold:
                 converged = True
                 break
     finally:
         if cache:
             used.unpersist()
-    history = reduce(DataFrame.unionByName, tables) if tables else local_table(spark, records, _HISTORY)
+    if rounds_to is not None:
+        history = reduce(DataFrame.unionByName, [done.read(i) for i in range(iteration + 1)])
+    else:
+        history = reduce(DataFrame.unionByName, tables) if tables else local_table(spark, records, _HISTORY)
     centroids = last.select("cid", "c", "n", F.lit(converged).alias("converged"))
     return KMeansResult(points, features, centroids, history, iteration + 1, converged, p)
 
 
+class _Rounds:
+    """Rounds committed to a folder, each whole or not at all."""
+
+    def __init__(self, spark, path: str | None, seeds: DataFrame, rules: dict):
+        self.spark, self.path, self.count = spark, path, 0
+        if path is None:
+            return
+        each = F.xxhash64(F.col("cid").cast("bigint"), F.col("c").cast("array<double>"))
+        rules["features"] = rules["features"] if isinstance(rules["features"], str) else list(rules["features"])
+        rules["seeds"] = [str(v) for v in seeds.agg(F.count("*"), F.sum(each.cast("decimal(38,0)"))).head()]
+        told, at = json.dumps(rules, sort_keys=True), f"{path}/_rules"
+        if not Folder(spark, at).exists():
+            line = spark.createDataFrame([(told,)], "value string").coalesce(1)
+            commit(spark, at, lambda to: line.write.text(to))
+        elif [r.value for r in spark.read.text(at).collect()] != [told]:
+            raise ValueError(f"{path} holds the rounds of another run")
+        there = set(Folder(spark, path).names())
+        while f"iteration={self.count}" in there:
+            self.count += 1
+
+    def read(self, iteration: int) -> DataFrame:
+        rows = self.spark.read.schema("cid bigint, shift double, c array<double>, prev array<double>, n bigint")
+        found = rows.parquet(f"{self.path}/iteration={iteration}")
+        return found.select(F.lit(iteration).alias("iteration"), "cid", "shift", "c", "prev", "n")
+
+    def write(self, iteration: int, last: DataFrame) -> None:
+        if self.path is not None:
+            rows = last.select("cid", "shift", "c", "prev", "n")
+            commit(self.spark, f"{self.path}/iteration={iteration}", lambda to: rows.write.parquet(to), overwrite=True)
+
+
 def lloyd(
     points: DataFrame,
     features: Features,

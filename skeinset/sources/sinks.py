@@ -1,4 +1,4 @@
-"""Writers for results."""
+"""Writers for results. Each writes aside and takes the place of a former result only when it is whole."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinset.functions.vectors import format_vector
+from skeinset.sources.folders import commit
 
 
 def _text(df: DataFrame, column: str, sep: str) -> Column:
@@ -14,6 +15,10 @@ def _text(df: DataFrame, column: str, sep: str) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def _commit(lines: DataFrame, path: str, overwrite: bool) -> None:
+    commit(lines.sparkSession, path, lambda at: lines.write.text(at), overwrite)
+
+
 def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:
     """``value``: one line per row, no quoting; nulls are empty fields."""
     return df.select(F.concat_ws(sep, *[_text(df, c, sep) for c in df.columns]).alias("value"))
@@ -21,18 +26,18 @@ def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", overwrite: bool = False) -> None:
     """The lines of ``to_lines`` as text files, without a header."""
-    to_lines(df, sep).write.mode("overwrite" if overwrite else "error").text(path)
+    _commit(to_lines(df, sep), path, overwrite)
 
 
 def write_keyed(df: DataFrame, path: str, key: str, value: str | None = None, overwrite: bool = False) -> None:
     """Lines ``key`` or ``key<TAB>value``; vectors are comma-separated."""
     parts = [_text(df, key, ",")] + ([_text(df, value, ",")] if value else [])
-    df.select(F.concat_ws("\t", *parts)).write.mode("overwrite" if overwrite else "error").text(path)
+    _commit(df.select(F.concat_ws("\t", *parts)), path, overwrite)
 
 
 def write_history(history: DataFrame, path: str, overwrite: bool = False) -> None:
     """One folder per iteration."""
-    history.write.mode("overwrite" if overwrite else "error").partitionBy("iteration").parquet(path)
+    commit(history.sparkSession, path, lambda at: history.write.partitionBy("iteration").parquet(at), overwrite)
 
 
 def write_centroids(centroids: DataFrame, path: str, with_id: bool = False) -> None:
@@ -40,7 +45,7 @@ def write_centroids(centroids: DataFrame, path: str, with_id: bool = False) -> N
     ordered = centroids.orderBy("cid").coalesce(1)
     vector = format_vector("c")
     line = F.concat_ws("\t", F.col("cid").cast("string"), vector) if with_id else vector
-    ordered.select(line).write.mode("overwrite").text(path)
+    _commit(ordered.select(line), path, True)
 
 
 def dump(df: DataFrame, n: int = 20) -> None:

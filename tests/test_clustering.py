@@ -14,6 +14,7 @@ from skeinset.operators.nearest import Centroids, assign, local_table, with_near
 from skeinset.operators.ranks import number_rows
 from skeinset.operators.silhouette import silhouette
 from skeinset.plans.agglomerate import _Blocks, agglomerate, closest_pair
+from skeinset.plans import kmeans as km
 from skeinset.plans.kmeans import kmeans, kmeans_step, lloyd, random_seeds
 
 
@@ -143,6 +144,37 @@ def test_table_of_centroids_gives_the_same_run(spark):
     assert (small.n_iter, small.converged) == (large.n_iter, large.converged)
 
 
+@pytest.mark.parametrize("local", [None, 0])
+def test_a_run_goes_on_after_the_last_committed_round(spark, tmp_path, local, monkeypatch):
+    rows = cloud(300, 2, top=50)
+    df, seeds = points_of(spark, rows), seeds_of(spark, cloud(6, 2, seed=5, top=50))
+    options = dict(stop="aligned", threshold=0.01, local_doubles=local)
+    whole = kmeans(df, seeds, "f", max_iter=6, **options)
+    path, write = str(tmp_path / "rounds"), km._Rounds.write
+
+    def killed(self, iteration, last):
+        if iteration == 2:
+            raise KeyboardInterrupt
+        write(self, iteration, last)
+
+    with monkeypatch.context() as m:
+        m.setattr(km._Rounds, "write", killed)
+        with pytest.raises(KeyboardInterrupt):
+            kmeans(df, seeds, "f", max_iter=6, rounds_to=path, **options)
+    assert sorted(p.name for p in (tmp_path / "rounds").iterdir()) == ["_rules", "iteration=0", "iteration=1"]
+    written = []
+    with monkeypatch.context() as m:
+        m.setattr(km._Rounds, "write", lambda self, i, last: written.append(i) or write(self, i, last))
+        again = kmeans(df, seeds, "f", max_iter=6, rounds_to=path, **options)
+    assert written == list(range(2, whole.n_iter)) or written == list(range(2, whole.n_iter + 1))
+    assert (again.n_iter, again.converged) == (whole.n_iter, whole.converged)
+    for part in ("centroids", "history"):
+        a, b = (sorted(map(str, getattr(x, part).collect())) for x in (whole, again))
+        assert a == b
+    with pytest.raises(ValueError, match="another run"):
+        kmeans(df, seeds, "f", max_iter=6, rounds_to=path, **{**options, "threshold": 1.0})
+
+
 def test_threshold_is_inclusive(spark):
     df, seeds = points_of(spark, [(2000,), (2000,)]), seeds_of(spark, [(0,)])
     assert kmeans(df, seeds, "f", max_iter=1, threshold=2000.0).converged

@@ -1,9 +1,13 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
+from skeinset.functions import kernels
+from skeinset.operators import knn
 from skeinset.operators.knn import knn_classify
 
 TRAIN = "id bigint, age double, income double, status string, gender string, children double, model string"
@@ -91,6 +95,32 @@ def test_one_scan_for_any_number_of_queries(spark):
     assert found.count() == 2000 and found.filter("id = 2").count() == 2000
 
 
+def test_passes_hold_a_part_of_the_queries_whatever_their_ids(spark, monkeypatch):
+    sizes, full = [], knn._nearest
+    monkeypatch.setattr(knn, "_nearest", lambda rows, asked, *rest: sizes.append(asked.num_rows) or full(rows, asked, *rest))
+    df = spark.createDataFrame([(None if q % 2 else 7, float(q), "a") for q in range(50)], "query_id int, x double, word string")
+    train = small(spark, [(i, float(i), "a", "AB"[i % 2]) for i in range(60)])
+    found = knn_classify(train, df.repartition(4), 1, {"x": (0, 1)}, ["word"], queries_per_pass=8).neighbours
+    assert sorted(r["id"] for r in found.collect()) == list(range(50))
+    assert len(sizes) == 7 and max(sizes) <= 8
+
+
+def test_far_strips_of_rows_are_passed_over(monkeypatch):
+    monkeypatch.setattr(kernels, "ROW_STRIP", 10)
+    kept, full = [], kernels.first_per_query
+    monkeypatch.setattr(kernels, "first_per_query", lambda rows, *rest: kept.append(rows.num_rows) or full(rows, *rest))
+    asked = [np.array([5.0, 41.0])], [pa.array(["a", None])]
+    search = kernels.nearest_rows(*asked, np.array([2, 3]), False)
+    rows = pa.record_batch([pa.array(np.arange(1000.0)), pa.array(["a", "b"] * 500), pa.array(range(1000))], names=["x", "w", "id"])
+    got = pa.Table.from_batches(list(search(iter([rows])))).sort_by([("q", "ascending"), ("dist", "ascending"), ("id", "ascending")])
+    want = []
+    for q, (x, w, k) in enumerate([(5.0, "a", 2), (41.0, None, 3)]):
+        near = sorted(((v - x) ** 2 + (("a", "b")[v % 2] != w), v) for v in range(1000))[:k]
+        want += [(q, d, v) for d, v in near]
+    assert [tuple(r.values()) for r in got.to_pylist()] == want
+    assert len(kept) < 8  # of a hundred strips
+
+
 def test_nulls_are_equal_words(spark):
     df = spark.createDataFrame([(0, 1.0, None)], "query_id int, x double, word string")
     train = small(spark, [(1, 1.0, "a", "B"), (2, 1.0, None, "A")])

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from skeinset.sources import sinks, synthetic, text
+from skeinset.sources import folders, sinks, synthetic, text
 
 
 def lines(tmp_path, *rows):
@@ -115,3 +116,29 @@ def test_generators_do_not_depend_on_partitions(spark):
     a = synthetic.pages(spark, 500, seed=3)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, synthetic.pages(spark, 500, seed=3).repartition(3).collect()))
     assert sorted(map(tuple, a.collect())) != sorted(map(tuple, synthetic.pages(spark, 500, seed=4).collect()))
+
+
+def test_a_failed_overwrite_leaves_the_old_data(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_delimited(spark.range(5), path)
+    broken = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("x"))
+    for write in (sinks.write_delimited, lambda df, to, overwrite: sinks.write_keyed(df, to, "x", overwrite=overwrite)):
+        with pytest.raises(PySparkException):
+            write(broken, path, overwrite=True)
+        assert sorted(r.value for r in spark.read.text(path).collect()) == list("01234")
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    with pytest.raises(PySparkException):
+        sinks.write_delimited(spark.range(2), path)
+    sinks.write_delimited(spark.range(2), path, overwrite=True)
+    assert spark.read.text(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_what_a_cut_off_commit_left_is_put_right(spark, tmp_path):
+    path = tmp_path / "out"
+    sinks.write_delimited(spark.range(3), str(path))
+    path.rename(tmp_path / "_before-out")  # ended between the two moves
+    folders.recover(spark, str(path))
+    assert spark.read.text(str(path)).count() == 3
+    sinks.write_delimited(spark.range(9), str(tmp_path / "_before-out"))  # ended before the former one was removed
+    sinks.write_delimited(spark.range(4), str(path), overwrite=True)
+    assert spark.read.text(str(path)).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["out"]
