@@ -195,6 +195,25 @@ def test_contamination(spark, odd_docs, slice_bytes):
         assert r.found.contaminated == bool(hit) and sum(s.end - s.start for s in r.found.spans) == len(hit)
 
 
+def test_searcher_is_small_and_shares_blocks():
+    import pickle
+
+    rng = random.Random(9)
+    items = [(str(i), " ".join(f"{rng.getrandbits(32):x}" for _ in range(120)).encode()) for i in range(800)]
+    size = sum(len(t) for _, t in items)
+    searcher = decontaminate.Searcher(items, 10)
+    assert len(pickle.dumps(searcher)) < 12 * size
+    few = decontaminate.Searcher(items, 10)
+    for patterns in few.sets:  # as if all blocks fell on four places
+        patterns.mask, jumps = 3, np.frombuffer(patterns.jumps, np.uint8)
+        patterns.jumps = bytes(int(jumps[i::4].min()) for i in range(4))
+    for i in range(0, 800, 37):
+        text = b"lead " * i + items[i][1][5:] + b" trail"
+        n, spans, found = searcher.hits(text)
+        assert found == {searcher.names.index(str(i))} and sum(b - a for a, b in spans) >= 119
+        assert few.hits(text) == (n, spans, found)
+
+
 def test_repeated_sequences():
     rng = random.Random(4)
     for n in (0, 1, 7, 40, 300):
