@@ -89,6 +89,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select(
         "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), "lang", "source"
     )
+    docs = keep(docs, "sizes")  # texts are read once
     bits = 5
     cell = [hashed(F.col("source"), bits), hashed(F.col("lang"), bits), log_scaled(F.col("size"), bits)]
     sharded = hilbert_shards(docs, cell, bits, ["doc_id", "text_crc32", "size"], shards=8)

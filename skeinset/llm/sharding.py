@@ -97,7 +97,8 @@ def hilbert_shards(
     counts = quantised.groupBy("__cell").agg(F.count("*").alias("__rows"))
     cells = counts.select(
         "__cell",
-        hilbert_index(F.col("__cell"), len(cell), bits).alias("curve"),
+        # never null, and known to be: a join would otherwise test the whole expression for null in each row
+        F.coalesce(hilbert_index(F.col("__cell"), len(cell), bits), F.lit(0).cast("bigint")).alias("curve"),
         F.ceil(F.col("__rows") / F.lit(rows_per_part)).alias("__parts"),
     )
     spread = F.xxhash64(*order)
