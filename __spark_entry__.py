@@ -179,6 +179,11 @@ def kmeans_aligned(spark, sf):
     return _flat(fit.centroids, "n", "converged", F.lit(fit.n_iter).alias("n_iter"))
 
 
+def kmeans_bounded(spark, sf):
+    """Rounds over points that carry bounds of their distances."""
+    return _flat(_fit(spark, sf, max_iter=12, stop=None, bounds=True).centroids, "n")
+
+
 def kmeans_centroids(spark, sf):
     return _flat(_fit(spark, sf, threshold=10.0).report, "state")
 
@@ -499,6 +504,7 @@ _QUERIES = [
     kmeans_converged,
     kmeans_history,
     kmeans_aligned,
+    kmeans_bounded,
     kmeans_centroids,
     kmeans_assignments,
     kmeans_assign_lines,
@@ -737,6 +743,7 @@ def _sql() -> dict[str, str]:
         "kmeans_aligned": _line_fit(
             f"SELECT {_flat_sql('n', 'done AS converged', 'it::INT AS n_iter')} FROM k {_LAST}", 30, "aligned", 0.0001
         ),
+        "kmeans_bounded": _line_fit(f"SELECT {_flat_sql('n')} FROM k {_LAST}", 12, None),
         "kmeans_centroids": _line_fit(
             "SELECT " + _flat_sql("CASE WHEN done THEN 'Convergence reached' ELSE 'Convergence not reached' END AS state")
             + f" FROM k {_LAST}", 5, "nearest", 10.0

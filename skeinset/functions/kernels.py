@@ -34,6 +34,15 @@ def distances(x: np.ndarray, y: np.ndarray, p: float = 2) -> np.ndarray:
     return np.sqrt(total, out=total) if p == 2 else np.power(total, 1.0 / p, out=total)
 
 
+def row_distances(x: np.ndarray, y: np.ndarray, p: float = 2) -> np.ndarray:
+    """The distance of each row of ``x`` to the same row of ``y``, summed as ``distances`` does."""
+    total = np.zeros(len(x))
+    for a, b in zip(x.T, y.T):
+        gap = a - b
+        total += gap * gap if p == 2 else np.abs(gap) ** p
+    return np.sqrt(total) if p == 2 else total ** (1.0 / p)
+
+
 def strips(x: np.ndarray, width: int) -> Iterator[slice]:
     """Row ranges of ``x`` whose distance table to ``width`` rows fits the processor cache."""
     step = max(1, STRIP_CELLS // max(width, 1))
@@ -188,3 +197,96 @@ def nearest_in_blocks(blocks: list, pivots: np.ndarray, p: float, second: bool):
         return pa.StructArray.from_arrays([pa.array(cid), pa.array(near), pa.array(after, mask=~np.isfinite(after))], names=["cid", "dist", "second"])
 
     return nearest
+
+
+class _Sums:
+    """Sums of vectors by the place of their centroid, and what finding the centroids took."""
+
+    def __init__(self, cids: np.ndarray, size: int):
+        self.cids, self.sums, self.n = cids, np.zeros((len(cids), size)), np.zeros(len(cids), dtype="int64")
+        self.compared = self.distances = 0
+
+    def add(self, x: np.ndarray, owner: np.ndarray, work: np.ndarray) -> None:
+        self.compared += int((work > 1).sum())
+        self.distances += int(work.sum(dtype="int64"))
+        if len(x):
+            order = np.argsort(owner, kind="stable")
+            at, first, n = np.unique(owner[order], return_index=True, return_counts=True)
+            self.sums[at] += np.add.reduceat(x[order], first, axis=0)
+            self.n[at] += n
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """``cid, n, sums``: a row per centroid with points, and one of no centroid with the work in place of sums."""
+        rows = [(int(self.cids[i]), int(self.n[i]), self.sums[i]) for i in np.flatnonzero(self.n)]
+        for cid, n, sums in [*rows, (None, 0, [float(self.compared), float(self.distances)])]:
+            columns = [pa.array([cid], pa.int64()), pa.array([n], pa.int64()), pa.array([sums], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["cid", "n", "sums"])
+
+
+def _rows(vectors: pa.Array, size: int) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+
+def summed_owners(cids: np.ndarray, size: int):
+    """A function on Arrow batches ``v, cid, upper, lower, work`` that sums vectors by their ``cid``; see ``_Sums``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _Sums(cids, size)
+        for batch in batches:
+            owner = np.searchsorted(cids, batch.column("cid").to_numpy())
+            total.add(_rows(batch.column("v"), size), owner, batch.column("work").to_numpy())
+        yield from total.batches()
+
+    return run
+
+
+def bounded_owners(now: tuple[np.ndarray, np.ndarray], moves: tuple[np.ndarray, ...], p: float, sums: bool):
+    """A function on Arrow batches ``v, cid, upper, lower, work`` that finds the nearest of the centroids ``now``.
+
+    ``cid, upper, lower`` hold for the centroids as they were; ``moves`` tells what has become of each: its
+    number, its place now, the way it has gone, the longest way of the others, and for each centroid now
+    the distance to the nearest other one. Only points whose bounds meet have their own distance taken, and
+    all distances if they meet still. The result is the same columns, or with ``sums`` the sums by centroid.
+    Bounds are widened by more than rounding can be off, so that equal distances are always compared.
+    """
+    (cids, table), (old, place, moved, others, least) = now, moves
+    more, less = 1 + 1e-10, 1 - 1e-10
+
+    def settle(x: np.ndarray, cid: np.ndarray, upper: np.ndarray, lower: np.ndarray):
+        was = np.searchsorted(old, cid)
+        owner, work = place[was], np.zeros(len(x), dtype="int32")
+        high = (upper + moved[was]) * more
+        low = lower * less - others[was] * more
+        known = np.isfinite(high)
+        low[known] = np.maximum(low[known], least[owner[known]] * less - high[known])
+        near = np.flatnonzero(known & ~(high < low))
+        if len(near):
+            own = row_distances(x[near], table[owner[near]], p)
+            work[near] = 1
+            high[near] = own * more
+            low[near] = np.maximum(low[near], least[owner[near]] * less - high[near])
+        open_ = np.flatnonzero(~(high < low))
+        for s in strips(open_, len(table)):
+            at = open_[s]
+            d = distances(x[at], table, p)
+            every, best = np.arange(len(d)), d.argmin(axis=1)
+            owner[at], high[at] = best, d[every, best] * more
+            d[every, best] = np.inf
+            low[at] = d.min(axis=1) * less
+            work[at] += len(table)
+        return owner, high, low, work
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _Sums(cids, table.shape[1])
+        for batch in batches:
+            x = _rows(batch.column("v"), table.shape[1])
+            owner, high, low, work = settle(x, *(batch.column(c).to_numpy() for c in ("cid", "upper", "lower")))
+            if sums:
+                total.add(x, owner, work)
+            else:
+                found = [pa.array(a) for a in (cids[owner], high, low, work)]
+                yield pa.RecordBatch.from_arrays([batch.column("v"), *found], names=["v", "cid", "upper", "lower", "work"])
+        if sums:
+            yield from total.batches()
+
+    return run

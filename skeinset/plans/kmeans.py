@@ -23,6 +23,7 @@ from skeinset.functions.vectors import Features, as_vector, coordinates, minkows
 from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, local_table, whole_vectors, with_nearest
 from skeinset.operators.ranks import number_rows
+from skeinset.plans.bounds import BoundedRounds
 from skeinset.session import cut_lineage
 from skeinset.sources.folders import Folder, commit
 
@@ -45,7 +46,8 @@ _HISTORY = pa.schema(
 class KMeansResult:
     """``centroids``: ``cid, c, n, converged``; ``history``: one row per round and centroid.
 
-    ``n`` is the number of points the centroid is the mean of.
+    ``n`` is the number of points the centroid is the mean of. ``work`` is there of runs with bounds:
+    ``iteration, points, compared, distances`` of the rounds this run has made itself.
     """
 
     points: DataFrame
@@ -55,6 +57,7 @@ class KMeansResult:
     n_iter: int
     converged: bool
     p: float = 2
+    work: DataFrame | None = None
 
     @property
     def assignments(self) -> DataFrame:
@@ -195,6 +198,24 @@ def _collected_round(points: DataFrame, old: Centroids, features: Features, stop
         return [(r["cid"], r["shift"], r["c"], r["prev"], r["n"]) for r in rows]
     _check_rules(stop, empty)
     means = {r["cid"]: (r["c"], r["n"]) for r in cluster_means(points, old, features, p=p).collect()}
+    return _aligned(means, old, empty, p)
+
+
+def _bounded_round(rounds: BoundedRounds, iteration: int, old: Centroids, stop: str | None, empty: str, p: float) -> list[tuple]:
+    """As ``_collected_round``, of points that carry bounds."""
+    _check_rules(stop, empty)
+    means = rounds.means(old, iteration)
+    rows = _aligned(means, old, empty, p) if means else []
+    if stop != "nearest" or not rows:
+        return rows
+    moved = local_table(old.df.sparkSession, [(cid, c) for cid, _, c, _, _ in rows], nearest.CENTROID_SCHEMA)
+    shifts = with_nearest(moved.withColumnRenamed("cid", "__cid"), old, "c", p=p).select("__cid", "dist").collect()
+    shift = {r["__cid"]: r["dist"] for r in shifts}
+    return [(cid, shift[cid], c, prev, n) for cid, _, c, prev, n in rows]
+
+
+def _aligned(means: dict[int, tuple[list[float], int]], old: Centroids, empty: str, p: float) -> list[tuple]:
+    """``cid, shift, c, prev, n``, the shift being that from the own predecessor."""
     out = []
     for cid, prev in old.rows:
         if cid in means or empty == "keep":
@@ -216,6 +237,7 @@ def kmeans(
     local_doubles: int | None = None,
     p: float = 2,
     rounds_to: str | None = None,
+    bounds: bool = False,
 ) -> KMeansResult:
     """Rounds until every shift is at most ``threshold``, ``max_iter`` at most.
 
@@ -227,6 +249,10 @@ def kmeans(
     ``rounds_to`` names a folder that takes each round as it ends, in ``iteration=0`` and so on. A run that finds
     rounds there goes on after the last one; the folder must be of a run of the same seeds and rules, over which
     only ``max_iter`` may differ. ``history`` then reads from it.
+
+    ``bounds=True`` is for many rounds or many centroids: points are written with bounds of their distances
+    (``plans.bounds``), and only those that may change their centroid are compared. The result is the same, but for
+    the order of sums. Centroids that are too many for the driver have bounds of their own and take no notice.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
@@ -238,6 +264,7 @@ def kmeans(
         used = used.persist(StorageLevel.MEMORY_AND_DISK)
     records, tables = [], []
     converged = False
+    bounded = BoundedRounds(used, features, current.size, p) if bounds and current.rows is not None else None
     try:
         for iteration in range(max_iter):
             if iteration < done.count:
@@ -245,7 +272,10 @@ def kmeans(
                 largest = last.agg(F.max("shift")).head()[0]
                 current = Centroids.of(last.select("cid", "c"), local_doubles)
             elif current.rows is not None:
-                rows = _collected_round(used, current, features, stop, empty, p)
+                if bounded is not None:
+                    rows = _bounded_round(bounded, iteration, current, stop, empty, p)
+                else:
+                    rows = _collected_round(used, current, features, stop, empty, p)
                 largest = max((shift for _, shift, *_ in rows), default=0.0)
                 records += [(iteration, *r) for r in rows]
                 last = local_table(spark, [r for r in records if r[0] == iteration], _HISTORY)
@@ -268,12 +298,15 @@ def kmeans(
     finally:
         if cache:
             used.unpersist()
+        if bounded is not None:
+            bounded.close()
     if rounds_to is not None:
         history = reduce(DataFrame.unionByName, [done.read(i) for i in range(iteration + 1)])
     else:
         history = reduce(DataFrame.unionByName, tables) if tables else local_table(spark, records, _HISTORY)
     centroids = last.select("cid", "c", "n", F.lit(converged).alias("converged"))
-    return KMeansResult(points, features, centroids, history, iteration + 1, converged, p)
+    work = None if bounded is None else bounded.work_table()
+    return KMeansResult(points, features, centroids, history, iteration + 1, converged, p, work)
 
 
 class _Rounds:
@@ -316,7 +349,8 @@ def lloyd(
     max_iter: int = 30,
     seed: int = 0,
     p: float = 2,
+    bounds: bool = False,
 ) -> KMeansResult:
     """K-means from random seeds until no centroid moves by more than ``threshold``."""
     seeds = random_seeds(points, k, id_col, features, seed)
-    return kmeans(points, seeds, features, max_iter, threshold, stop="aligned", p=p)
+    return kmeans(points, seeds, features, max_iter, threshold, stop="aligned", p=p, bounds=bounds)

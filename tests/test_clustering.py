@@ -175,6 +175,46 @@ def test_a_run_goes_on_after_the_last_committed_round(spark, tmp_path, local, mo
         kmeans(df, seeds, "f", max_iter=6, rounds_to=path, **{**options, "threshold": 1.0})
 
 
+@pytest.mark.parametrize(
+    "stop,empty,p,cost", [("aligned", "drop", 2, 2.0), ("nearest", "keep", 2, 0.0), (None, "drop", 1, 1e9), ("aligned", "drop", 3, 2.0)]
+)
+def test_rounds_with_bounds_are_the_same(spark, stop, empty, p, cost, monkeypatch):
+    """Whether points are written once, now and then or in each round; whole numbers, so that distances tie."""
+    monkeypatch.setattr("skeinset.plans.bounds.WRITE_COST", cost)
+    rows = cloud(700, 3, top=7) + cloud(300, 3, seed=4, top=90)
+    seeds = [rows[i] for i in (0, 5, 5, 9, 710, 720, 800)] + [[1e6] * 3]
+    points = points_of(spark, rows).repartition(5)
+    rules = dict(max_iter=12, threshold=0.001, stop=stop, empty=empty, p=p)
+    plain, fit = (kmeans(points, seeds_of(spark, seeds), "f", **rules, bounds=b) for b in (False, True))
+    assert fit.n_iter == plain.n_iter and fit.converged == plain.converged and plain.work is None
+    key = ["iteration", "cid"]
+    for a, b in zip(plain.history.orderBy(key).collect(), fit.history.orderBy(key).collect(), strict=True):
+        assert (a.iteration, a.cid, a.n) == (b.iteration, b.cid, b.n)
+        assert np.allclose([*a.c, *a.prev, a.shift], [*b.c, *b.prev, b.shift], rtol=1e-12, atol=1e-9)
+    work = fit.work.orderBy("iteration").collect()
+    assert len(work) == fit.n_iter and {r.points for r in work} == {1000}
+    assert work[0].compared == 1000 and work[0].distances == 1000 * len(seeds)
+
+
+def test_work_of_rounds_with_bounds_falls(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.uniform(0, 100, (30, 2))
+    rows = (centres[rng.integers(0, 30, 6000)] + rng.normal(0, 1.5, (6000, 2))).tolist()
+    fit = lloyd(points_of(spark, rows), "f", "id", 30, max_iter=15, bounds=True)
+    work = [r.distances for r in fit.work.orderBy("iteration").collect()]
+    assert work[0] == 30 * 6000 and work[-1] < work[0] / 20 and sum(work) < len(work) * work[0] / 4
+    assert fit.work.agg(F.min("points")).head()[0] == 6000
+
+
+def test_bounds_need_a_triangle_inequality_and_points(spark):
+    with pytest.raises(ValueError, match="below 1"):
+        kmeans(points_of(spark, [(1,)]), seeds_of(spark, [(1,)]), "f", p=0.5, bounds=True)
+    with pytest.raises(ValueError, match="no points"):
+        kmeans(points_of(spark, []), seeds_of(spark, [(1,)]), "f", bounds=True)
+    one = kmeans(points_of(spark, [(1,), (4,)]), seeds_of(spark, [(1,)]), "f", stop=None, max_iter=3, bounds=True)
+    assert [(r.compared, r.distances) for r in one.work.orderBy("iteration").collect()] == [(0, 2), (0, 0), (0, 0)]
+
+
 def test_threshold_is_inclusive(spark):
     df, seeds = points_of(spark, [(2000,), (2000,)]), seeds_of(spark, [(0,)])
     assert kmeans(df, seeds, "f", max_iter=1, threshold=2000.0).converged
