@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from skeinset.functions import kernels, vectors
-from skeinset.operators import nearest
+from skeinset.operators import nearest, tiles
 from skeinset.operators.nearest import Centroids, assign, local_table, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.operators.silhouette import silhouette
@@ -335,6 +335,33 @@ def test_silhouette_equals_brute_force(spark, method, monkeypatch):
     assert whole["s"] == pytest.approx(sum(s for _, s in want) / len(want)) and whole["n"] == len(rows)
 
 
+@pytest.mark.parametrize("square", [1, 3, 16])
+def test_squares_of_tiles(spark, square, monkeypatch):
+    """Each tile once, whatever the runs are; blocks are sent per run and tasks follow the squares."""
+    monkeypatch.setattr("skeinset.operators.tiles.SQUARE", square)
+    monkeypatch.setattr("skeinset.operators.tiles.BLOCK_DOUBLES", 32)
+    rows = [(g, i, [float(i % 97), float(i * i % 89)], 1.0 + i % 3) for g, n in ((3, 900), (5, 40), (8, 1)) for i in range(n)]
+    table = spark.createDataFrame(rows, "g bigint, id bigint, v array<double>, n double")
+    blocks = tiles.pack(table, "g", "v", "id", ["id", "n"], tiles.block_rows(2))
+    squares = tiles.own_tiles(blocks, "g", ["n"])
+    listed = blocks.collect()
+    ids = {(r["g"], r["blk"]): r["id"] for r in listed}
+    got = {(r["g"], ids[r["g"], r["blk"]][r["pos"]]): r["total"] for r in tiles.weighted_distance_sums(squares, 2).collect()}
+    for g in (3, 5, 8):
+        x, n = (np.array([r[k] for r in rows if r[0] == g]) for k in (2, 3))
+        assert np.allclose([got.pop((g, i)) for i in range(len(x))], kernels.distances(x, x) @ n)
+    assert not got
+    run = min(square, 7)  # 57 + 3 + 1 blocks, 4 squares for each of 8 partitions
+    runs = {r["g"]: -(-r["n_blk"] // run) for r in listed}
+    assert squares.count() == sum(runs[r["g"]] for r in listed)
+    assert squares.rdd.getNumPartitions() == max(8, sum(r * (r + 1) // 2 for r in runs.values()) // tiles.SQUARES_PER_TASK)
+    pair = tiles.closest_pair(tiles.own_tiles(tiles.pack(table.filter("g = 3").withColumnRenamed("id", "cid"), "g", "v", "cid", ["cid"], 16), "g", ["cid"]), 2)
+    x = np.array([r[2] for r in rows if r[0] == 3])
+    d = kernels.distances(x, x)
+    d[np.tril_indices(900)] = np.inf
+    assert tuple(pair.head()) == (d.min(), *np.unravel_index(d.argmin(), d.shape))
+
+
 @pytest.mark.parametrize(
     "points, centres, want",
     [
