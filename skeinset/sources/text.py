@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinset.functions.vectors import parse_vector
+from skeinset.operators.ranks import number_rows
 from skeinset.sources import schemas
 
 Schema = Sequence[tuple[str, str]]
@@ -61,12 +62,16 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
     return parse_delimited(_in_order(spark, path).select(line), (("query_id", "bigint"), *schemas.QUERY))
 
 
-def _in_order(spark: SparkSession, path: str) -> DataFrame:
-    """``value, at``: the lines of a small file or folder that are not blank, numbered by file name and place."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").coalesce(1)
+def _in_order(spark, path: str) -> DataFrame:
+    """``value, at``: the lines of a file or folder that are not blank, numbered by file name and place.
+
+    A split of a file is read by one task from its first line to its last, so file, start of the split and the
+    count of rows in the task give the order, however many tasks read the files.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
     kept = lines.withColumn("line", F.monotonically_increasing_id()).filter(F.trim("value") != "")
-    place = Window.orderBy("file_path", "file_block_start", "line")
-    return kept.select(F.trim("value").alias("value"), (F.row_number().over(place) - 1).cast("bigint").alias("at"))
+    numbered = number_rows(kept.withColumn("value", F.trim("value")), ["file_path", "file_block_start", "line"], "at")
+    return numbered.select("value", "at")
 
 
 def parse_points(lines: DataFrame) -> DataFrame:
@@ -81,10 +86,7 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
-    """``cid, c`` in the order of file names and lines, or by the id in front where lines read ``id<TAB>vector``.
-
-    A centroid file is small and its order matters, so it is read as one partition.
-    """
+    """``cid, c`` in the order of file names and lines, or by the id in front where lines read ``id<TAB>vector``."""
     parts = F.split("value", "\t")
     keyed = F.size(parts) > 1
     return _in_order(spark, path).select(

@@ -69,6 +69,25 @@ def test_centroids_of_several_files_come_in_the_order_of_names(spark, tmp_path):
     assert [(r["cid"], r["c"][0]) for r in back] == [(i, float(i)) for i in range(51)]
 
 
+def test_lines_keep_their_order_over_many_splits(spark, tmp_path):
+    folder = tmp_path / "split"
+    folder.mkdir()
+    for name, n in (("b", 700), ("a", 40), ("c", 0), ("d", 900)):
+        (folder / name).write_text("".join(f"{name},{i}\n" + "\n" * (i % 3) for i in range(n)))
+    sizes = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+        back = text._in_order(spark, str(folder)).collect()
+    finally:
+        for c, size in sizes.items():
+            spark.conf.set(c, size)
+    want = [f"{name},{i}" for name, n in (("a", 40), ("b", 700), ("d", 900)) for i in range(n)]
+    assert [r["value"] for r in sorted(back, key=lambda r: r["at"])] == want
+    assert sorted(r["at"] for r in back) == list(range(len(want)))
+
+
 def test_queries_have_numbers_in_file_order(spark, tmp_path):
     path = lines(tmp_path, "3,20,5000,S,F,1", "", "1,30,6000,M,M,0")
     rows = text.read_queries(spark, path).orderBy("query_id").collect()
