@@ -136,6 +136,20 @@ def one_way_same_region(spark, sf):
     )
 
 
+def one_way_hubs(spark, sf):
+    """As ``one_way_same_region``; a third of the edges leaves one customer, a third meets another."""
+    lines = _read(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
+    orders = _read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    turn = F.col("l_orderkey") % 3
+    edges = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        F.when(turn == 0, 1).otherwise(F.col("o_custkey")).alias("src"),
+        F.when(turn == 1, 2).otherwise(F.col("l_suppkey") * 15).alias("dst"),
+    )
+    customers = _read(spark, sf, "customer")
+    columns = ["c_custkey", "c_name"]
+    return social.one_way_same_group(edges.filter("src <> dst"), "src", "dst", customers, "c_custkey", "c_nationkey", columns, hubs=True)
+
+
 # --- k-means ---------------------------------------------------------------------------------
 
 
@@ -496,6 +510,7 @@ _QUERIES = [
     above_average,
     inactive_entities,
     one_way_same_region,
+    one_way_hubs,
     kmeans_one_step,
     kmeans_manhattan,
     kmeans_lloyd,
@@ -730,6 +745,15 @@ def _sql() -> dict[str, str]:
             JOIN customer a ON a.c_custkey = e.src JOIN customer b ON b.c_custkey = e.dst
             LEFT JOIN edges r ON r.src = e.dst AND r.dst = e.src
             WHERE r.src IS NULL AND a.c_nationkey = b.c_nationkey""",
+        "one_way_hubs": """WITH raw AS (
+            SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS src,
+            CASE WHEN l_orderkey % 3 = 1 THEN 2 ELSE l_suppkey * 15 END AS dst
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+            edges AS (SELECT DISTINCT src, dst FROM raw WHERE src <> dst)
+            SELECT DISTINCT a.c_custkey, a.c_name FROM edges e
+            JOIN customer a ON a.c_custkey = e.src JOIN customer b ON b.c_custkey = e.dst
+            LEFT JOIN edges r ON r.src = e.dst AND r.dst = e.src
+            WHERE r.src IS NULL AND a.c_nationkey = b.c_nationkey""",
         "kmeans_one_step": step,
         "kmeans_manhattan": manhattan,
         "kmeans_lloyd": f"WITH RECURSIVE {lloyd} SELECT "

@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skeinset.operators.hubs import frequent_values, join_spread
+from skeinset.session import cut_lineage
+
 BROADCAST_KEYS = 100_000
 
 
@@ -133,12 +136,16 @@ def one_way_same_group(
     node_id: str,
     group: str,
     out_cols: Sequence[str],
+    hubs: bool = False,
 ) -> DataFrame:
     """Distinct ``out_cols`` of nodes with an edge, not returned, to a node of their own group.
 
     One aggregate per unordered pair tells which directions it has, so edges are shuffled once and only
     one-way links, of ids alone, meet the nodes; ``out_cols`` are fetched for the sources that remain.
     An edge from a node to itself is its own return.
+
+    ``hubs=True`` is for graphs where few nodes have a large share of the links, and does not rely on adaptive
+    execution: one-way links are written out, sketches name the frequent ends, and only links of these are spread.
     """
     ends = nodes.select(F.col(node_id).alias("__id"), F.col(group).alias("__group"))
     a, b = F.col(src), F.col(dst)
@@ -152,7 +159,14 @@ def one_way_same_group(
     links = one_way.select(F.when(up, low).otherwise(high).alias("__src"), F.when(up, high).otherwise(low).alias("__dst"))
     tail = ends.select(F.col("__id").alias("__src"), F.col("__group").alias("__g"))
     head = ends.select(F.col("__id").alias("__dst"), F.col("__group").alias("__h"))
-    inside = links.join(tail, "__src").join(head, "__dst").filter(F.col("__g") == F.col("__h"))
+    if hubs:
+        links = cut_lineage(links)
+        hot = frequent_values(links, "__dst")
+        known = join_spread(links, tail, "__src", ["__dst"])
+        met = join_spread(known, head, "__dst", ["__src"], hot)
+    else:
+        met = links.join(tail, "__src").join(head, "__dst")
+    inside = met.filter(F.col("__g") == F.col("__h"))
     sources = inside.select("__src", "__h").distinct()
     return (
         sources.join(nodes, (F.col("__src") == F.col(node_id)) & (F.col("__h") == F.col(group)))

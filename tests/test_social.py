@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from skeinset.operators import social
+from skeinset.operators import hubs, social
 
 
 @pytest.fixture
@@ -85,9 +86,10 @@ def edge_frame(spark, rows):
     return spark.createDataFrame(rows, "a int, b int")
 
 
-def test_one_way_links(spark, pages):
+@pytest.mark.parametrize("spread", [False, True])
+def test_one_way_links(spark, pages, spread):
     def run(rows):
-        out = social.one_way_same_group(edge_frame(spark, rows), "a", "b", pages, "id", "region", ["id", "nick"])
+        out = social.one_way_same_group(edge_frame(spark, rows), "a", "b", pages, "id", "region", ["id", "nick"], spread)
         return got(out)
 
     assert run([(1, 2), (2, 1)]) == []
@@ -95,12 +97,52 @@ def test_one_way_links(spark, pages):
     assert run([(1, 2), (1, 2), (3, 4), (None, 2), (2, None), (9, 1)]) == [(1, "ann"), (3, "cid")]
 
 
-def test_one_way_links_with_repeated_node_ids(spark):
+@pytest.mark.parametrize("spread", [False, True])
+def test_one_way_links_with_repeated_node_ids(spark, spread):
     nodes = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", 2)], "id int, nick string, region int")
-    out = social.one_way_same_group(edge_frame(spark, [(1, 2)]), "a", "b", nodes, "id", "region", ["id", "nick"])
+    out = social.one_way_same_group(edge_frame(spark, [(1, 2)]), "a", "b", nodes, "id", "region", ["id", "nick"], spread)
     assert got(out) == [(1, "y")]
 
 
+@pytest.fixture
+def no_help(spark):
+    """Neither adaptive execution nor broadcasts by size."""
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {c: spark.conf.get(c) for c in plain}
+    for c, value in plain.items():
+        spark.conf.set(c, value)
+    yield
+    for c, value in before.items():
+        spark.conf.set(c, value)
+
+
+def test_links_of_a_hub_are_spread(spark, no_help):
+    ids = F.col("id")
+    edges = spark.range(60_000).select(F.when(ids % 3 == 0, -1).otherwise(ids % 5003).alias("src"), ids.alias("dst"))
+    nodes = spark.range(-1, 60_000).select(ids.alias("src"), (ids % 7).alias("g"))
+    hot = hubs.frequent_values(edges, "src")
+    assert [r["__hot"] for r in hot.collect()] == [-1]
+
+    def tasks(joined):
+        return sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+
+    spread, plain = hubs.join_spread(edges, nodes, "src", ["dst"]), edges.join(nodes, "src")
+    assert sorted(spread.columns) == sorted(plain.columns) and spread.exceptAll(plain.select(spread.columns)).isEmpty()
+    sizes = tasks(spread)
+    assert sum(sizes) == 60_000 and len(sizes) == 8 and sizes[-1] < 3 * sizes[4]
+    assert tasks(plain)[-1] > 20_000
+
+
+def test_frequent_values_of_little(spark):
+    rows = [("a", 1)] * 50 + [("b", 2)] * 50 + [(None, 3)] * 500
+    table = spark.createDataFrame(rows, "k string, v int")
+    assert {r["__hot"]: r["__copies"] for r in hubs.frequent_values(table, "k", 8).collect()} == {"a": 16, "b": 16}
+    assert hubs.frequent_values(table.limit(0), "k").count() == 0
+    twice = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z")], "k string, w string")
+    assert hubs.join_spread(table, twice, "k", ["v"]).count() == 100
+    assert hubs.join_spread(table.limit(0), twice, "k", ["v"]).count() == 0
+
+
 def test_hot_key_and_partitioning_do_not_change_results(spark, pages):
     rows = [(i, i % 5, 1 if i % 3 else i % 4 + 1, i) for i in range(3000)]
     log = facts(spark, rows)
