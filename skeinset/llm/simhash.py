@@ -9,6 +9,10 @@ A fingerprint of 64 bits is three segments of 22, 21 and 21 bits. With four erro
 segment has none, and then another has two or fewer; or two segments have one each. So a pair meets
 under (one segment as it is, near codewords of another), or under (near codewords of two segments
 on one side, own codewords on the other). What meets is verified by counting bits.
+
+The second kind of key has 24 bits. It is needed only where all segments have errors, which are then one, one and
+one or two; so such a pair has a near codeword of the third segment in common as well, and a key that is met too often
+is divided by these, to 36 bits.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ GENERATOR = 0b101011100011  # of the Golay code
 RUN_LIMIT = 20_000
 SMALL_RUN = 64
 _PROBE, _OWN, _BOTH = 0, 1, 2
+_PAIRS = tuple(combinations(range(len(SEGMENTS)), 2))  # tags of keys, before those with a whole segment
+_TAG_BIT = 34
+_REFINED = 1 << 58  # tells divided runs from others
 
 
 def fingerprint_of(text: bytes, words: int) -> int:
@@ -101,18 +108,23 @@ def near_codewords(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return (words ^ own[s]) >> 11, (words[:, None] ^ near[s]) >> 11, np.arange(6) < count[s][:, None]
 
 
+def segment(prints: np.ndarray, i: int) -> np.ndarray:
+    at, n = SEGMENTS[i]
+    return (prints >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64)
+
+
 def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys and the rows they belong to. Low bits of a key: probe, own, or both at once."""
-    segments = [(prints >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS]
+    segments = [segment(prints, i) for i in range(len(SEGMENTS))]
     coded = [near_codewords(s) for s in segments]
     rows, keys, tag = [], [], 0
 
     def add(at: np.ndarray, left: np.ndarray, right: np.ndarray, role: int) -> None:
         rows.append(at)
-        keys.append(((np.int64(tag) << 34 | left << 12 | right) << 2) | role)
+        keys.append(((np.int64(tag) << _TAG_BIT | left << 12 | right) << 2) | role)
 
     everyone = np.arange(len(prints))
-    for i, j in combinations(range(len(SEGMENTS)), 2):
+    for i, j in _PAIRS:
         add(everyone, coded[i][0], coded[j][0], _OWN)
         at, a, b = np.nonzero(coded[i][2][:, :, None] & coded[j][2][:, None, :])
         add(at, coded[i][1][at, a], coded[j][1][at, b], _PROBE)
@@ -135,6 +147,22 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at].view(np.int64))], names=["key", "fp"])
 
 
+def _divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of keys on two segments, under each near codeword of the third; see the head of the module."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 8192):
+            part = batch.slice(i, 8192)
+            old, prints = part.column("key").to_numpy(), part.column("fp").to_numpy().view(np.uint64)
+            run = old >> 2
+            for tag, pair in enumerate(_PAIRS):
+                mine = np.flatnonzero(run >> _TAG_BIT == tag)
+                (third,) = set(range(len(SEGMENTS))) - set(pair)
+                _, near, used = near_codewords(segment(prints[mine], third))
+                at, a = np.nonzero(used)
+                keys = (_REFINED | run[mine[at]] << 12 | near[at, a]) << 2 | old[mine[at]] & 3
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[mine[at]].view(np.int64))], names=["key", "fp"])
+
+
 def forest(left: np.ndarray, right: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links that join what is connected by pairs of ``left`` and ``right``, fewer than there are members."""
     rest, links = [left, right], []
@@ -215,18 +243,27 @@ def links(prints: DataFrame, bits: int = MAX_BITS, run_limit: int = RUN_LIMIT) -
     """Links ``a, b`` between fingerprints (bigint column ``fp``, all different) of ``bits`` or fewer
     differing bits: enough to connect all that any such links connect.
 
-    A key of more than ``run_limit`` fingerprints isn't handled by the task that meets it; its rows
-    are dealt out again as tiles, one block of it against another.
+    A key of more than ``run_limit`` fingerprints isn't handled by the task that meets it. If it is one of
+    two codewords, it is divided by those of the third segment. The rows of keys that can't be divided, or are
+    still met too often, are dealt out again as tiles, one block of it against another.
     """
     if not 0 <= bits <= MAX_BITS:
         raise ValueError(f"bits must be 0 to {MAX_BITS}")
-    keyed = prints.select("fp").mapInArrow(_keyed, "key bigint, fp bigint")
-    met = keyed.repartition(F.shiftright("key", 2)).sortWithinPartitions("key")
-    found = keep(met.mapInArrow(_link_runs(bits, run_limit), "a bigint, b bigint, key bigint"), "near")
-    hot = found.filter("key is not null").selectExpr("shiftright(key, 2) as run", "key & 3 as role", "a as fp")
-    near = found.filter("key is null").select("a", "b")
+
+    def meet(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        met = keyed.repartition(F.shiftright("key", 2)).sortWithinPartitions("key")
+        found = keep(met.mapInArrow(_link_runs(bits, run_limit), "a bigint, b bigint, key bigint"), "near")
+        return found.filter("key is null").select("a", "b"), found.filter("key is not null").selectExpr("key", "a as fp")
+
+    near, hot = meet(prints.select("fp").mapInArrow(_keyed, "key bigint, fp bigint"))
+    if hot.isEmpty():
+        return near
+    on_two = F.shiftright("key", 2 + _TAG_BIT) < len(_PAIRS)
+    more, still = meet(hot.filter(on_two).mapInArrow(_divided, "key bigint, fp bigint"))
+    near, hot = near.union(more), hot.filter(~on_two).union(still)
     if hot.isEmpty():
         return near
+    hot = hot.selectExpr("shiftright(key, 2) as run", "key & 3 as role", "fp")
     sizes = hot.groupBy("run").agg(F.ceil(F.count("*") / F.lit(run_limit)).alias("blocks"))
     placed = hot.join(sizes, "run").withColumn("at", F.expr("pmod(xxhash64(fp), blocks)"))
     # a probe visits every block of own rows; of rows that are both, lower blocks visit higher ones

@@ -106,6 +106,33 @@ def test_golay_covers():
             assert set(a[b]) & set(c[d])
 
 
+def test_frequent_keys_are_divided_by_the_third_segment(spark, monkeypatch):
+    """Fingerprints near the same codewords of two segments; none goes the way of tiles, all links are found."""
+    def never(bits):
+        raise AssertionError("tiles")
+
+    monkeypatch.setattr(simhash, "_link_tiles", never)
+    rng = random.Random(5)
+    prints = {}
+    for n in range(2000):
+        p = 1 << rng.randrange(22) | 1 << 22 + rng.randrange(21) | rng.getrandbits(21) << 43
+        prints[p] = None
+        if n < 60:  # one bit of each of the two, one or two of the third
+            third = 1 << 43 + rng.randrange(21) | 1 << 43 + rng.randrange(21)
+            first = (p & (1 << 43) - 1) ^ (1 << n % 22) ^ (1 << 22 + n % 21)
+            prints[first | (p >> 43 << 43) ^ third] = None
+    prints = sorted(prints)
+    keys, _ = simhash.keys_of(np.array(prints, dtype=np.uint64))
+    run, size = np.unique(keys >> 2, return_counts=True)
+    assert set(run[size > 600] >> 34) == {0}
+    df = spark.createDataFrame([(p - (p >> 63 << 64),) for p in prints], "fp long")
+    found = components(simhash.links(df, 4, 600)).collect()
+    got = {p: p for p in prints} | {r.node % 2**64: r.root % 2**64 for r in found}
+    want = plain_roots(prints)
+    groups = lambda m: sorted(sorted(p for p in m if m[p] == r) for r in set(m.values()))
+    assert groups(got) == groups(want) and len(groups(want)) < len(prints) - 20
+
+
 @pytest.mark.parametrize("limit", [20_000, 3])
 def test_links_lose_nothing(spark, limit):
     rng = random.Random(2)
