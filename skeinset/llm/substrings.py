@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinset.llm.common import as_bytes, hold, keep, release, sorted_runs, utf8
+from skeinset.llm.common import as_bytes, hold, keep, release, salted_join, sorted_runs, utf8
 
 WINDOW = 35
 RUN_LIMIT = 20_000
@@ -78,6 +78,8 @@ class Sequence:
 
 def anchors(grams: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the lowest hash among ``starts`` neighbours, and the first and last window of each."""
+    if len(grams) >> _PLACE_BITS:
+        raise ValueError(f"a text of more than {1 << _PLACE_BITS} words")
     mask = np.uint64((1 << _PLACE_BITS) - 1)
     least = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
     width = 1
@@ -261,7 +263,7 @@ def repeated_spans(
         )
         again = keep(single.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "again")
         spans = spans.union(
-            single.join(again, "hash").select("digest", "start", (F.col("start") + window).cast("int").alias("stop"))
+            salted_join(single, again, "hash", "digest").select("digest", "start", (F.col("start") + window).cast("int").alias("stop"))
         )
     merged = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return merged, texts.select("digest", "text").dropDuplicates(["digest"])

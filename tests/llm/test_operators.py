@@ -93,6 +93,14 @@ def plain_roots(prints):
     return {p: find(p) for p in prints}
 
 
+def test_a_text_of_too_many_words_is_an_error(monkeypatch):
+    monkeypatch.setattr(substrings, "_PLACE_BITS", 5)
+    grams = np.arange(33, dtype=np.uint64) << np.uint64(40)
+    substrings.anchors(grams[:32], 4)
+    with pytest.raises(ValueError, match="more than 32 words"):
+        substrings.anchors(grams, 4)
+
+
 def test_golay_covers():
     own, near, count = simhash.golay()
     assert sorted(Counter(count.tolist()).items()) == [(1, 277), (6, 1771)]
