@@ -78,8 +78,8 @@ class Sequence:
 
 def anchors(grams: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the lowest hash among ``starts`` neighbours, and the first and last window of each."""
-    if len(grams) >> _PLACE_BITS:
-        raise ValueError(f"a text of more than {1 << _PLACE_BITS} words")
+    if len(grams) > 1 << _PLACE_BITS:
+        raise ValueError(f"a text of more than {1 << _PLACE_BITS} word sequences")
     mask = np.uint64((1 << _PLACE_BITS) - 1)
     least = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
     width = 1

@@ -97,7 +97,7 @@ def test_a_text_of_too_many_words_is_an_error(monkeypatch):
     monkeypatch.setattr(substrings, "_PLACE_BITS", 5)
     grams = np.arange(33, dtype=np.uint64) << np.uint64(40)
     substrings.anchors(grams[:32], 4)
-    with pytest.raises(ValueError, match="more than 32 words"):
+    with pytest.raises(ValueError, match="more than 32 word sequences"):
         substrings.anchors(grams, 4)
 
 
