@@ -41,6 +41,8 @@ FAR_SEED = (10.0, 900000.0, 0.02, 0.01)
 INACTIVE_SINCE = "2024-01-28 00:00:00"
 VECTOR_SEEDS = 10
 VECTOR_SEED = 7
+PRICE_CUTS = ["l_quantity", "l_discount", "l_tax"]
+RACE_SEEDS = 200
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,10 +230,15 @@ def random_init(spark, sf):
 
 
 def random_init_without_ids(spark, sf):
-    seeds = km.random_seeds(_read(spark, sf, "lineitem"), VECTOR_SEEDS, None, MEASURES, VECTOR_SEED)
+    seeds = km.random_seeds(_read(spark, sf, "lineitem"), VECTOR_SEEDS, None, MEASURES, VECTOR_SEED, draw="copies")
     return seeds.select("cid", *[F.col("c")[i].alias(f"c{i}") for i in range(4)])
 
 
+def random_init_by_race(spark, sf):
+    seeds = km.random_seeds(_read(spark, sf, "lineitem"), RACE_SEEDS, None, PRICE_CUTS, VECTOR_SEED)
+    return seeds.select("cid", *[F.col("c")[i].alias(f"c{i}") for i in range(3)])
+
+
 # --- silhouettes -----------------------------------------------------------------------------
 
 
@@ -526,6 +533,7 @@ _QUERIES = [
     nearest_of_many,
     random_init,
     random_init_without_ids,
+    random_init_by_race,
     silhouette_simple,
     silhouette_simple_clusters,
     silhouette_pairwise,
@@ -782,6 +790,14 @@ def _sql() -> dict[str, str]:
             FROM (SELECT l_orderkey, l_linenumber, row_number() OVER () AS r, [l_extendedprice / l_quantity, l_quantity] AS v FROM lineitem),
                  (SELECT p_partkey, [p_retailprice, p_size::DOUBLE] AS c FROM part) GROUP BY ALL)""",
         "random_init": f"SELECT cid, c[1] AS c0, c[64] AS c63 FROM ({_EMB_SEEDS})",
+        "random_init_by_race": f"""WITH t AS (
+                SELECT v, count(*) AS n FROM (SELECT [{', '.join(PRICE_CUTS)}] AS v FROM lineitem) GROUP BY v),
+            p AS (SELECT v, n, unnest(range(1, least(n, {RACE_SEEDS}) + 1)) AS j FROM t),
+            u AS (SELECT v, n, j, (('0x' || left(md5('{VECTOR_SEED}:' || array_to_string(v, ',') || ':' || j), 13))::BIGINT::DOUBLE + 1)
+                / 4503599627370496::DOUBLE AS u FROM p),
+            e AS (SELECT v, j, sum(-ln(u) / (n - j + 1)) OVER (PARTITION BY v ORDER BY j) AS a FROM u),
+            drawn AS (SELECT v, j FROM e ORDER BY a, v, j LIMIT {RACE_SEEDS})
+            SELECT row_number() OVER (ORDER BY v, j) - 1 AS cid, {', '.join(f'v[{i + 1}] AS c{i}' for i in range(3))} FROM drawn""",
         "random_init_without_ids": f"""WITH t AS (SELECT v, row_number() OVER (PARTITION BY v) AS i FROM ({_LINE_POINTS})),
             drawn AS (SELECT * FROM t ORDER BY md5('{VECTOR_SEED}:' || array_to_string(v, ',') || ':' || i) LIMIT {VECTOR_SEEDS})
             SELECT (row_number() OVER (ORDER BY v, i) - 1)::BIGINT AS cid, v[1] AS c0, v[2] AS c1, v[3] AS c2, v[4] AS c3 FROM drawn""",

@@ -24,6 +24,7 @@ from skeinset.operators import nearest
 from skeinset.operators.nearest import Centroids, local_table, whole_vectors, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.plans.bounds import BoundedRounds
+from skeinset.plans.draws import race, race_table
 from skeinset.session import cut_lineage
 from skeinset.sources.folders import Folder, commit
 
@@ -71,31 +72,52 @@ class KMeansResult:
         return self.centroids.select("cid", "c", F.lit(state).alias("state"))
 
 
-def random_seeds(points: DataFrame, k: int, id_col: str | None, features: Features, seed: int = 0) -> DataFrame:
+def random_seeds(
+    points: DataFrame, k: int, id_col: str | None, features: Features, seed: int = 0, draw: str = "race"
+) -> DataFrame:
     """``cid, c``: ``k`` points drawn uniformly by a hash of their id, numbered in id order.
 
-    Without an id, points are drawn by their value and a number among equal ones, and numbered in
-    that order. Each task keeps its ``k`` lowest hashes; nothing is shuffled but those. Only a ``k``
-    too large for the driver takes a sort of all points.
+    Each task keeps its ``k`` lowest hashes; nothing is shuffled but those. Only a ``k`` too large for the
+    driver takes a sort of all points. Without an id, points are drawn by their value and a number among
+    equal ones, and numbered in that order: by ``draw="race"`` in three scans (``plans/draws.py``), by
+    ``"copies"`` with a hash of each point, for which all values are counted. Either way the draw does not
+    depend on how the points are laid out.
     """
+    if draw not in ("race", "copies"):
+        raise ValueError(f"no draw {draw!r}")
+    size = points.select(F.size(as_vector(features)).alias("size")).head()
+    large = size is not None and k * (size["size"] or 0) > nearest.LOCAL_DOUBLES
+    if id_col is None and draw == "race":
+        return _raced(points, k, features, seed, large)
     if id_col is None:
         pool = _without_ids(points, features, seed)
     else:
-        draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-        pool = points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), draw.alias("__draw"))
-    first = pool.select(F.size("c").alias("size")).head()
-    if first is not None and k * first["size"] > nearest.LOCAL_DOUBLES:
+        hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+        pool = points.select(F.col(id_col).alias("__id"), as_vector(features).alias("c"), hashed.alias("__draw"))
+    if large:
         drawn = number_rows(pool, ["__draw", "__id"], "__rank").filter(F.col("__rank") < k)
-        found = drawn.count()
-        if found < k:
-            raise ValueError(f"{k} seeds asked of {found} points")
+        _enough(drawn.count(), k)
         return number_rows(drawn.select("__id", "c"), ["__id"], "cid").select("cid", "c")
     rows = sorted(pool.orderBy("__draw", "__id").limit(k).collect(), key=lambda r: r["__id"])
-    if len(rows) < k:
-        raise ValueError(f"{k} seeds asked of {len(rows)} points")
+    _enough(len(rows), k)
     return Centroids.local(points.sparkSession, [(i, r["c"]) for i, r in enumerate(rows)]).df
 
 
+def _enough(found: int, k: int) -> None:
+    if found < k:
+        raise ValueError(f"{k} seeds asked of {found} points")
+
+
+def _raced(points: DataFrame, k: int, features: Features, seed: int, large: bool) -> DataFrame:
+    if large:
+        drawn = cut_lineage(race_table(points, k, features, seed))
+        _enough(drawn.count(), k)
+        return number_rows(drawn, ["c", "j"], "cid").select("cid", "c")
+    rows = sorted(race(points, k, features, seed))
+    _enough(len(rows), k)
+    return Centroids.local(points.sparkSession, [(i, c) for i, (c, _) in enumerate(rows)]).df
+
+
 def _without_ids(points: DataFrame, features: Features, seed: int) -> DataFrame:
     """``__id, c, __draw`` of each point; equal ones are numbered in chunks, so that no task has all of them."""
     counted = points.select(as_vector(features).alias("c")).groupBy("c").agg(F.count("*").alias("n"))

@@ -1,4 +1,7 @@
+import hashlib
+import math
 import random
+from collections import Counter
 from types import SimpleNamespace
 
 import brute
@@ -9,12 +12,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from skeinset.functions import kernels, vectors
+from skeinset.functions.kernels import race_times
 from skeinset.operators import nearest, tiles
 from skeinset.operators.nearest import Centroids, assign, local_table, with_nearest
 from skeinset.operators.ranks import number_rows
 from skeinset.operators.silhouette import silhouette
 from skeinset.plans.agglomerate import _Blocks, agglomerate, closest_pair
 from skeinset.plans import kmeans as km
+from skeinset.plans.draws import candidates
 from skeinset.plans.kmeans import kmeans, kmeans_step, lloyd, random_seeds
 
 
@@ -294,6 +299,56 @@ def test_seeds_and_lloyd_without_ids(spark):
     assert lloyd(df, "f", k=2).centroids.count() <= 2
 
 
+def raced(rows, k, seed):
+    """The race run for every point, by hand."""
+    times = []
+    for value, n in Counter(rows).items():
+        time = 0.0
+        for j in range(1, n + 1):
+            text = f"{seed}:{','.join(map(str, value))}:{j}"
+            time -= math.log((int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 1) / 2**52) / (n - j + 1)
+            times.append((time, value, j))
+    return [list(v) for v, _ in sorted((v, j) for _, v, j in sorted(times)[:k])]
+
+
+@pytest.mark.parametrize("k", [1, 7, 40, 400])
+def test_race_equals_all_points_run(spark, monkeypatch, k):
+    rng = random.Random(5)
+    rows = [(float(rng.randrange(30)), rng.choice([0.5, 0.0, 0.25])) for _ in range(300)] + [(3.0, 0.5)] * 150
+    df = spark.createDataFrame([(list(r),) for r in rows], "f array<double>").repartition(5)
+    few = sorted(map(tuple, random_seeds(df, k, None, "f", 3).collect()))
+    assert few == list(enumerate(raced(rows, k, 3)))
+    assert few == sorted(map(tuple, random_seeds(df.repartition(3), k, None, "f", 3).collect()))
+    monkeypatch.setattr(nearest, "LOCAL_DOUBLES", 0)
+    assert few == sorted(map(tuple, random_seeds(df, k, None, "f", 3).collect()))
+
+
+def test_race_counts_few_values(spark):
+    hot = spark.range(60_000).selectExpr("array(if(id % 3 = 0, -1.0D, cast(id as double))) as f")
+    even = spark.range(200_000).selectExpr("array(cast(id % 20000 as double)) as f")
+    for df in (hot, even):
+        found = candidates(df, 5, "f", 1)
+        assert 5 <= found.count() < 200
+    # zeros of either sign are one value; a hot one is drawn, its points one after the other
+    zeros = spark.range(90).selectExpr("array(if(id % 2 = 0, 0.0D, -0.0D)) as f")
+    assert [(r["c"], r["n"]) for r in candidates(zeros, 5, "f", 1).collect()] == [([0.0], 90)]
+    with pytest.raises(ValueError):
+        random_seeds(zeros, 91, None, "f")
+    with pytest.raises(ValueError):
+        random_seeds(zeros.filter("false"), 1, None, "f")
+
+
+def test_race_is_a_uniform_draw():
+    counts, tries = {"a": 6, "b": 2, "c": 1, "d": 1}, 4000
+    first, both = Counter(), 0
+    for seed in range(tries):
+        times = sorted((t, v) for v, n in counts.items() for _, t in race_times(f"{seed}:{v}", n))
+        first[times[0][1]] += 1
+        both += times[0][1] == times[1][1] == "a"
+    assert all(abs(first[v] / tries - n / 10) < 0.03 for v, n in counts.items())
+    assert abs(both / tries - 6 / 10 * 5 / 9) < 0.03
+
+
 def test_means_of_wide_vectors(spark):
     import numpy as np
 
