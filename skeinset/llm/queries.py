@@ -59,11 +59,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(column: str):
         return F.substring(column, len("urn:page:") + 1, 20).cast("bigint")
 
-    archive = spark.read.format("warc").schema(
+    archive = spark.read.format("warc").option("take_filters", True).schema(
         "record_id string, record_type string, refers_to string, payload_digest string, payload_length bigint, payload binary"
     )
     responses = archive.load(path).filter("record_type = 'response'")
-    bare = spark.read.format("warc").schema(
+    bare = spark.read.format("warc").option("take_filters", True).schema(
         "record_id string, record_type string, refers_to string, payload_digest string, payload_length bigint"
     )
     revisits = bare.load(path).filter("record_type = 'revisit'")

@@ -69,13 +69,19 @@ DATE = "1970-01-01T00:00:00Z"
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to a session, and let the source take over filters."""
+    """Make the format known to a session, and let sources with ``take_filters`` take over filters."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
 
 class WarcSource(DataSource):
-    """Options: ``roll_bytes`` and ``date`` (writing), ``part_bytes`` (reading)."""
+    """Options: ``roll_bytes`` and ``date`` (writing), ``part_bytes``, ``record_types`` and ``take_filters`` (reading).
+
+    Blocks of records that aren't wanted are passed over. ``record_types``, names with commas between, says
+    which types are. With ``take_filters`` the source also takes over Spark's filters of header fields. Spark
+    keeps the filters of the last plan with a loaded table and applies them to every other use of it, so such
+    a table must be loaded anew for each use; without the option a table can be used as often as one likes.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -85,7 +91,8 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return WarcReader(self.options, schema)
+        takes = self.options.get("take_filters", "false").lower() == "true"
+        return (FilteringWarcReader if takes else WarcReader)(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return WarcWriter(self.options, schema, overwrite)
@@ -297,19 +304,9 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.path, self.part_bytes = options["path"], int(options.get("part_bytes", PART_BYTES))
         self.columns = schema.names
+        self.kinds = {k.strip() for k in options.get("record_types", "").split(",") if k.strip()}
         self.tests: list[tuple[type, str, object]] = []
 
-    def pushFilters(self, filters: list[Filter]):
-        """Takes over comparisons of header fields with values; all others are left to Spark."""
-        for f in filters:
-            name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
-            if isinstance(f, IsNotNull) and name in _HEADERS:
-                self.tests.append((IsNotNull, name, None))
-            elif type(f) in _TESTS and name in _HEADERS:
-                self.tests.append((type(f), name, f.value))
-            else:
-                yield f
-
     def partitions(self) -> list[Files]:
         store, root = _store(self.path)
         listed = f"{root}/_files"
@@ -330,6 +327,8 @@ class WarcReader(DataSourceReader):
         return [*parts, Files(held)] if held or not parts else parts
 
     def _wanted(self, row: dict) -> bool:
+        if self.kinds and row["record_type"] not in self.kinds:
+            return False
         for kind, name, value in self.tests:
             have = row[name]
             if have is None:
@@ -371,6 +370,21 @@ class WarcReader(DataSourceReader):
                 row["payload"] = block.rest()
 
 
+class FilteringWarcReader(WarcReader):
+    """A reader that takes filters over, for tables that are used once."""
+
+    def pushFilters(self, filters: list[Filter]):
+        """Takes over comparisons of header fields with values; all others are left to Spark."""
+        for f in filters:
+            name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
+            if isinstance(f, IsNotNull) and name in _HEADERS:
+                self.tests.append((IsNotNull, name, None))
+            elif type(f) in _TESTS and name in _HEADERS:
+                self.tests.append((type(f), name, f.value))
+            else:
+                yield f
+
+
 # --- writing ---------------------------------------------------------------------------------
 
 
