@@ -20,6 +20,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STRIP_CELLS = 50_000
 QUERY_STRIP = 128
 ROW_STRIP = 8192
+PACK_NUMBERS = 1 << 20
+GROUP_NUMBERS = 1 << 19
 
 
 def distances(x: np.ndarray, y: np.ndarray, p: float = 2) -> np.ndarray:
@@ -136,71 +138,212 @@ def nearest_rows(numbers: list[np.ndarray], words: list[pa.Array], k: np.ndarray
     return search
 
 
+def boxed(x: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Rows of ``x`` in runs of at most ``most``, halved across their widest coordinate until they are that few."""
+
+    def cut(at: np.ndarray) -> Iterator[np.ndarray]:
+        runs = -(-len(at) // most)
+        if runs <= 1:
+            yield at
+            return
+        part, middle = x[at], most * (runs // 2)
+        order = np.argpartition(part[:, int((part.max(axis=0) - part.min(axis=0)).argmax())], middle)
+        yield from cut(at[order[:middle]])
+        yield from cut(at[order[middle:]])
+
+    return cut(np.arange(len(x)))
+
+
 def packed_centroids(rows: int, pivots: np.ndarray, p: float):
-    """A function on Arrow batches ``cid, c`` that makes one row of at most ``rows`` successive centroids."""
+    """A function on Arrow batches ``cid, c`` that makes rows of at most ``rows`` centroids near each other.
 
-    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    Of successive centroids, ``PACK_NUMBERS`` numbers or one block are held and cut into blocks by their coordinates.
+    """
+    most = rows * max(1, PACK_NUMBERS // max(rows * pivots.shape[1], 1))
+
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).combine_chunks()
         cids = table.column(0).to_numpy()
-        order = np.argsort(cids)  # the first of equal distances is then that of the lowest number
-        x = table.column(1).combine_chunks().flatten().to_numpy().reshape(len(cids), -1)[order]
-        away = distances(x, pivots, p)
-        columns = [cids[order], x.ravel(), away.min(axis=0), away.max(axis=0)]
-        return pa.RecordBatch.from_pydict({n: [c] for n, c in zip(("cids", "flat", "low", "high"), columns)})
+        x = table.column(1).combine_chunks().flatten().to_numpy().reshape(len(cids), -1)
+        for some in boxed(x, rows):
+            some = some[np.argsort(cids[some])]  # the first of equal distances is then that of the lowest number
+            away = distances(x[some], pivots, p)
+            columns = [cids[some], x[some].ravel(), away.min(axis=0), away.max(axis=0)]
+            yield pa.RecordBatch.from_pydict({n: [c] for n, c in zip(("cids", "flat", "low", "high"), columns)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             while batch.num_rows:
-                part = batch.slice(0, rows - size)
+                part = batch.slice(0, most - size)
                 batch = batch.slice(part.num_rows)
                 held.append(part)
                 size += part.num_rows
-                if size == rows:
-                    yield packed(held)
+                if size == most:
+                    yield from packed(held)
                     held, size = [], 0
         if held:
-            yield packed(held)
+            yield from packed(held)
 
     return run
 
 
+def least_distances(x: np.ndarray, away: np.ndarray | None, box: tuple[np.ndarray, ...], p: float) -> np.ndarray:
+    """No centroid of ``box`` is nearer to a row than this.
+
+    A box has the bounds of its centroids' coordinates and of their distances to the pivots; ``away`` are the
+    rows' distances to those, if they are to count. Of order 2 the gaps to a box round as ``distances`` does, never
+    above it.
+    """
+    low, high, ring_low, ring_high = box
+    total = np.zeros(len(x))
+    for a, least, most in zip(x.T, low, high):
+        gap = np.maximum(np.maximum(least - a, a - most), 0.0)
+        total += gap * gap if p == 2 else gap**p
+    bound = np.sqrt(total, out=total) if p == 2 else total ** (1.0 / p) * (1 - 1e-9)
+    if away is not None:
+        ring = np.maximum(ring_low - away, away - ring_high) - 1e-11 * (away + ring_high)
+        bound = np.maximum(bound, ring.max(axis=1))
+    return bound
+
+
+class Found:
+    """The nearest centroid of each row of ``x`` so far, and the distances to it and to the next one.
+
+    The triangle inequality on pivots is for vectors of more coordinates than there are pivots; orders below 1 have none.
+    """
+
+    def __init__(self, x: np.ndarray, pivots: np.ndarray, p: float, second: bool):
+        self.x, self.away, self.p = x, distances(x, pivots, p), p
+        self.pivoted = p >= 1 and x.shape[1] > len(pivots)
+        self.cid = np.full(len(x), -1, dtype="int64")
+        self.near, self.after = np.full(len(x), np.inf), np.full(len(x), np.inf)
+        self.limit = self.after if second else self.near  # what is farther changes nothing
+
+    def least(self, rows: np.ndarray, boxes: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        """The least distances of ``rows`` to each of some boxes."""
+        x = np.asfortranarray(self.x[rows])
+        away = self.away[rows] if self.pivoted else None
+        return [least_distances(x, away, box, self.p) for box in boxes]
+
+    def look(self, rows: np.ndarray, blocks: list[tuple]) -> None:
+        """Take blocks ``cids, table, low, high`` into account for ``rows``, for each row the nearest block first."""
+        least = self.least(rows, [(table.min(axis=0), table.max(axis=0), low, high) for _, table, low, high in blocks])
+        home = np.argmin(least, axis=0)
+        for first_of_all in (True, False):
+            for b, (cids, table, *_) in enumerate(blocks):
+                some = rows[((home == b) == first_of_all) & ~(least[b] > self.limit[rows])]
+                for s in strips(some, len(table)):
+                    self._compare(some[s], cids, table)
+
+    def _compare(self, at: np.ndarray, cids: np.ndarray, table: np.ndarray) -> None:
+        d = distances(self.x[at], table, self.p)
+        every, best = np.arange(len(d)), d.argmin(axis=1)
+        first = d[every, best]
+        d[every, best] = np.inf
+        next_one = d.min(axis=1)
+        near, after = self.near[at], self.after[at]
+        wins = (first < near) | ((first == near) & (cids[best] < self.cid[at]))
+        self.after[at] = np.where(wins, np.minimum(near, next_one), np.minimum(after, first))
+        self.near[at[wins]], self.cid[at[wins]] = first[wins], cids[best[wins]]
+
+    def array(self) -> pa.Array:
+        after = pa.array(self.after, mask=~np.isfinite(self.after))
+        return pa.StructArray.from_arrays([pa.array(self.cid), pa.array(self.near), after], names=["cid", "dist", "second"])
+
+
 def nearest_in_blocks(blocks: list, pivots: np.ndarray, p: float, second: bool):
     """A function on vectors and ``cid, dist, second`` so far that takes some blocks of centroids into account.
 
-    A block is looked at by the points that may have a centroid in it as near as the ones they know, by the
-    triangle inequality on the distances to the pivots.
+    A block is looked at by the points that may have a centroid in it as near as the ones they know.
     """
-    margin = 1 - 1e-9 if p >= 1 else 0.0  # orders below 1 have no triangle inequality
 
     def nearest(vectors: pa.Array, known: pa.Array) -> pa.Array:
-        x = vectors.flatten().to_numpy().reshape(len(vectors), -1)
+        found = Found(_rows(vectors, pivots.shape[1]), pivots, p, second)
         old = known.flatten()  # its fields, null where nothing is known
-        cid = pc.fill_null(old[0], -1).to_numpy().copy()
-        near, after = (pc.fill_null(f, np.inf).to_numpy().copy() for f in old[1:])
-        away = distances(x, pivots, p)
-        bounds = []
-        for sent in blocks:
-            low, high = np.array(sent.value[2]), np.array(sent.value[3])
-            bounds.append(np.maximum(np.maximum(low - away, away - high).max(axis=1), 0.0) * margin)
-        for b in np.argsort([bound.mean() if len(bound) else 0.0 for bound in bounds]).tolist():
-            cids, table = np.array(blocks[b].value[0]), blocks[b].value[1]
-            some = np.flatnonzero(bounds[b] <= (after if second else near))
-            for s in strips(x[some], len(table)):
-                at = some[s]
-                d = distances(x[at], table, p)
-                every, best = np.arange(len(d)), d.argmin(axis=1)
-                first = d[every, best]
-                d[every, best] = np.inf
-                next_one = d.min(axis=1)
-                wins = (first < near[at]) | ((first == near[at]) & (cids[best] < cid[at]))
-                after[at] = np.where(wins, np.minimum(near[at], next_one), np.minimum(after[at], first))
-                near[at[wins]], cid[at[wins]] = first[wins], cids[best[wins]]
-        return pa.StructArray.from_arrays([pa.array(cid), pa.array(near), pa.array(after, mask=~np.isfinite(after))], names=["cid", "dist", "second"])
+        found.cid[:] = pc.fill_null(old[0], -1).to_numpy()
+        found.near[:], found.after[:] = (pc.fill_null(f, np.inf).to_numpy() for f in old[1:])
+        values = [tuple(np.asarray(part) for part in sent.value) for sent in blocks]
+        found.look(np.arange(len(found.x)), values)
+        return found.array()
 
     return nearest
 
 
+def box_tree(boxes: list[tuple[np.ndarray, ...]], some: np.ndarray | None = None) -> tuple:
+    """``(box, number)`` of one box, or ``(box around them, (left, right))`` of halves across the widest coordinate."""
+    some = np.arange(len(boxes)) if some is None else some
+    if len(some) == 1:
+        return boxes[some[0]], int(some[0])
+    low, high, ring_low, ring_high = (np.array([boxes[i][k] for i in some]) for k in range(4))
+    whole = low.min(axis=0), high.max(axis=0), ring_low.min(axis=0), ring_high.max(axis=0)
+    middle = low + high
+    order = some[np.argsort(middle[:, int((middle.max(axis=0) - middle.min(axis=0)).argmax())], kind="stable")]
+    half = len(some) // 2
+    return whole, (box_tree(boxes, order[:half]), box_tree(boxes, order[half:]))
+
+
+def nearest_in_slices(slices: list, boxes: list[tuple[np.ndarray, ...]], pivots: np.ndarray, p: float, second: bool):
+    """A function on batches of vectors that finds ``cid, dist, second`` among all blocks of all slices.
+
+    A slice is a broadcast of some blocks and has a box. A task holds a group of points and one slice at a
+    time. Each point first goes down the tree of boxes to the slice it is nearest to, and then to every other slice
+    that is no farther than the centroids it knows.
+    """
+    tree = box_tree(boxes)
+
+    def blocks_of(number: int) -> list[tuple]:
+        # of several slices none stays in the worker's memory, as ``value`` would
+        sent = slices[number]
+        return sent.value if len(slices) == 1 else sent.load_from_path(sent._path)
+
+    def nearest_one(found: Found, home: np.ndarray, node: tuple, rows: np.ndarray) -> None:
+        _, below = node
+        if not len(rows):
+            return
+        if isinstance(below, int):
+            home[rows] = below
+            found.look(rows, blocks_of(below))
+            return
+        left, right = found.least(rows, [box for box, _ in below])
+        nearer = left <= right
+        nearest_one(found, home, below[0], rows[nearer])
+        nearest_one(found, home, below[1], rows[~nearer])
+
+    def others(found: Found, home: np.ndarray, node: tuple, rows: np.ndarray) -> None:
+        box, below = node
+        if isinstance(below, int):
+            rows = rows[home[rows] != below]
+        rows = rows[~(found.least(rows, [box])[0] > found.limit[rows])]
+        if not len(rows):
+            return
+        if isinstance(below, int):
+            found.look(rows, blocks_of(below))
+            return
+        for child in below:
+            others(found, home, child, rows)
+
+    def grouped(held: list[np.ndarray]) -> pa.Array:
+        found = Found(np.concatenate(held), pivots, p, second)
+        every, home = np.arange(len(found.x)), np.full(len(found.x), -1)
+        nearest_one(found, home, tree, every)
+        others(found, home, tree, every)
+        return found.array()
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held, numbers = [], 0
+        for vectors in batches:
+            held.append(_rows(vectors, pivots.shape[1]))
+            numbers += held[-1].size
+            if numbers >= GROUP_NUMBERS:
+                yield grouped(held)
+                held, numbers = [], 0
+        if held:
+            yield grouped(held)
+
+    return run
+
+
 class _Sums:
     """Sums of vectors by the place of their centroid, and what finding the centroids took."""
 

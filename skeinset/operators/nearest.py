@@ -2,10 +2,10 @@
 
 Three ways, one result. Few centroids become arithmetic on primitive columns inside whole-stage
 code generation. More of them go to an Arrow-batched numpy kernel. Beyond ``LOCAL_DOUBLES`` the
-centroids are no longer fit to be sent whole: they are cut into blocks, along their distance to a pivot,
-and blocks are sent one after the other. A point carries the best and the second distance so far in its
-row, and passes over a block that the pivots show to be farther (triangle inequality). None of the three
-ways shuffles points.
+centroids are no longer fit to be held whole: they are cut into blocks, along their distance to a pivot and
+then by their coordinates, and sent in slices of some blocks. A task reads its points once; a group of them asks
+one slice after the other, those that bounds of coordinates and the triangle inequality on pivots leave, and
+holds one at a time. None of the three ways shuffles points or writes them.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinset.functions.kernels import distances, nearest_in_blocks, packed_centroids, strips
+from skeinset.functions.kernels import distances, nearest_in_slices, packed_centroids, strips
 from skeinset.functions.vectors import Features, as_vector, coordinates
 from skeinset.session import cut_lineage
 
@@ -184,26 +184,28 @@ def _batched(
 def _by_blocks(
     points: DataFrame, centroids: Centroids, features: Features, second: bool, p: float
 ) -> DataFrame:
-    size, columns = centroids.size, points.columns
+    size, context = centroids.size, points.sparkSession.sparkContext
     bound = LOCAL_DOUBLES if centroids.block_doubles is None else centroids.block_doubles
     blocks, pivots = _blocks(centroids, max(16, bound // max(size, 1)), p)
-    none = "cast(null as struct<cid: bigint, dist: double, second: double>) as __n"
-    state = points.select("*", F.expr(none), as_vector(features).alias("__v"))
-    held, left = [], blocks.count()
+    slices, boxes, held = [], [], []
+
+    def send() -> None:
+        low, high = ([getattr(t, m)(axis=0) for _, t, *_ in held] for m in ("min", "max"))
+        ring_low, ring_high = ([block[k] for block in held] for k in (2, 3))
+        boxes.append((np.min(low, axis=0), np.max(high, axis=0), np.min(ring_low, axis=0), np.max(ring_high, axis=0)))
+        slices.append(context.broadcast(list(held)))
+        held.clear()
+
     for row in blocks.toLocalIterator():
-        held.append(points.sparkSession.sparkContext.broadcast((row["cids"], np.array(row["flat"]).reshape(-1, size), row["low"], row["high"])))
-        left -= 1
-        if len(held) < BLOCKS_PER_PASS and left:
-            continue
-        found = F.arrow_udf(nearest_in_blocks(held, np.array(pivots), p, second), "struct<cid: bigint, dist: double, second: double>")
-        state = state.withColumn("__n", found("__v", "__n"))
-        if left:  # the rows are written with what they carry, so that no more than these blocks are in memory at once
-            state = cut_lineage(state)
-            for sent in held:
-                sent.destroy()
-            held = []
-    return state.selectExpr(
-        *[f"`{c}`" for c in columns],
+        cids, flat, low, high = (np.array(row[c]) for c in ("cids", "flat", "low", "high"))
+        held.append((cids, flat.reshape(-1, size), low, high))
+        if len(held) == BLOCKS_PER_PASS:
+            send()
+    if held:
+        send()
+    found = F.arrow_udf(nearest_in_slices(slices, boxes, np.array(pivots), p, second), "struct<cid: bigint, dist: double, second: double>")
+    return points.withColumn("__n", found(as_vector(features))).selectExpr(
+        *[f"`{c}`" for c in points.columns],
         _never_null("__n.cid"),
         "__n.dist as dist",
         *(["__n.second as second"] if second else []),
@@ -214,7 +216,7 @@ def _blocks(centroids: Centroids, rows: int, p: float) -> tuple[DataFrame, list[
     """The centroids as blocks ``cids, flat, low, high`` of at most ``rows``, and the pivots.
 
     ``low`` and ``high`` are the bounds of the block's distances to each pivot. Pivots are far from each other
-    among a few centroids; blocks follow the distance to the first.
+    among a few centroids; blocks follow the distance to the first, and of what a task holds the coordinates.
     """
     few = [r["c"] for r in centroids.df.orderBy(F.xxhash64("cid"), "cid").limit(16 * PIVOTS).collect()]
     pivots = few[:1]

@@ -94,6 +94,50 @@ def test_many_blocks_of_centroids(spark, monkeypatch, p, per_pass):
         assert (r["dist"], r["second"]) == pytest.approx((found[0][0], found[1][0])) and (p != 2 or r["cid"] == found[0][1])
 
 
+def test_points_of_many_slices_of_centroids_are_not_written(spark, monkeypatch):
+    written, full = [], nearest.cut_lineage
+    monkeypatch.setattr(nearest, "cut_lineage", lambda df: written.append(df.columns) or full(df))
+    monkeypatch.setattr(nearest, "BLOCKS_PER_PASS", 2)
+    monkeypatch.setattr(kernels, "GROUP_NUMBERS", 64)
+    rows = cloud(200, 2, top=40) + [(1e6 + i, i % 40) for i in range(40)]  # far from all centroids, too
+    centres = list(enumerate(cloud(150, 2, seed=3, top=40)))
+    table = local_table(spark, [(i, list(map(float, c))) for i, c in centres], nearest.CENTROID_SCHEMA)
+    out = with_nearest(points_of(spark, rows), Centroids.of(table, 32), "f", second=True).collect()
+    assert written == [["cids", "flat", "low", "high"]] and sorted(r["id"] for r in out) == list(range(len(rows)))
+    for r in out:
+        found = sorted((brute.dist(rows[r["id"]], c), i) for i, c in centres)
+        assert (r["cid"], r["dist"], r["second"]) == (found[0][1], found[0][0], found[1][0])
+
+
+@pytest.mark.parametrize("size,second", [(2, True), (2, False), (7, True)])
+def test_slices_of_far_centroids_are_not_read(monkeypatch, size, second):
+    monkeypatch.setattr(kernels, "GROUP_NUMBERS", 150)
+    x, centres = (np.array(cloud(n, size, seed=n, top=30), dtype=float) for n in (100, 600))
+    pivots, read = centres[:4], []
+    blocks = [(at, centres[at], *(m(kernels.distances(centres[at], pivots), axis=0) for m in (np.min, np.max))) for at in map(np.sort, kernels.boxed(centres, 10))]
+
+    class Sent:
+        def __init__(self, blocks):
+            self.blocks, self._path = blocks, None
+
+        def load_from_path(self, path):
+            read.append(self)
+            return self.blocks
+
+    slices = [Sent(blocks[i : i + 2]) for i in range(0, len(blocks), 2)]
+    tables = [np.concatenate([t for _, t, *_ in s.blocks]) for s in slices]
+    away = [kernels.distances(t, pivots) for t in tables]
+    boxes = [(t.min(axis=0), t.max(axis=0), a.min(axis=0), a.max(axis=0)) for t, a in zip(tables, away)]
+    search = kernels.nearest_in_slices(slices, boxes, pivots, 2, second)
+    near = x if size > 2 else x[np.argsort(x[:, 0])] * [0.1, 1.0]  # a strip at the edge
+    got = [r for a in search(pa.array(near[i : i + 7].tolist()) for i in range(0, 100, 7)) for r in a.to_pylist()]
+    d = kernels.distances(near, centres)
+    assert [r["cid"] for r in got] == d.argmin(axis=1).tolist() and [r["dist"] for r in got] == d.min(axis=1).tolist()
+    if second:
+        assert [r["second"] for r in got] == np.sort(d, axis=1)[:, 1].tolist()
+    assert size > 2 or len(set(map(id, read))) < len(slices) / 2
+
+
 def test_points_of_many_centroids_are_not_shuffled(spark):
     table = spark.range(200).selectExpr("id as cid", "array(cast(id as double)) as c")
     points = spark.range(1000).selectExpr("id", "array(id / 7) as f")
