@@ -183,19 +183,21 @@ class Model:
         return self.tokens + 0.1 * (self.distinct + 1)
 
     def slices(self) -> Iterator[Slice]:
-        """Slices of ``slice_bytes`` at most, or of one shard, made on the driver one at a time."""
-        size = {r["shard"]: r["size"] for r in self.shards.select("shard", F.octet_length("bits").alias("size")).collect()}
-        first = 0
-        while first < self.n_shards:
-            last, total = first, size.get(first, 0)
-            while last + 1 < self.n_shards and total + size.get(last + 1, 0) <= self.settings.slice_bytes:
-                last += 1
-                total += size.get(last, 0)
-            found = {r["shard"]: r["bits"] for r in self.shards.filter(F.col("shard").between(first, last)).collect()}
-            parts = [found.get(i, b"") for i in range(first, last + 1)]
-            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-            yield Slice(first, starts, np.frombuffer(b"".join(parts), np.uint8))
-            first = last + 1
+        """Slices of ``slice_bytes`` at most, or of one shard, made on the driver one at a time.
+
+        Shards come in order, a partition of them at a time, so that no slice is there as rows and as bytes at once.
+        """
+        first, ends, data = 0, [0], bytearray()
+        for r in self.shards.orderBy("shard").toLocalIterator():
+            shard, bits = r["shard"], r["bits"]
+            if data and len(data) + len(bits) > self.settings.slice_bytes:
+                yield Slice(first, np.array(ends, dtype=np.int64), np.frombuffer(data, np.uint8))
+                first, ends, data = first + len(ends) - 1, [0], bytearray()
+            ends += [len(data)] * (shard - first - len(ends) + 1)  # shards without n-grams before it
+            data += bits
+            ends.append(len(data))
+        ends += [len(data)] * (self.n_shards - first - len(ends) + 1)
+        yield Slice(first, np.array(ends, dtype=np.int64), np.frombuffer(data, np.uint8))
 
 
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,9 +385,10 @@ def score(docs: DataFrame, model: Model, id_cols: Sequence[str], text_col: str =
     sent = []
     for part in model.slices():
         sent.append((spark.sparkContext.broadcast(part), part.first, part.first + len(part.starts) - 1))
+        del part  # before the next one is made
     short = model.words.filter(F.octet_length("word") <= settings.hot_length)
-    frequent = short.orderBy(F.desc("n"), "word").limit(settings.hot_words).collect()
-    hot = spark.sparkContext.broadcast((pa.array([r["word"] for r in frequent], pa.string()), np.array([r["n"] for r in frequent], dtype=np.int64)))
+    frequent = short.orderBy(F.desc("n"), "word").limit(settings.hot_words).toArrow()  # not as rows, which take several times that
+    hot = spark.sparkContext.broadcast((frequent["word"].combine_chunks().cast(pa.string()), frequent["n"].to_numpy()))
     scorer = _Scorer(model, sent, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

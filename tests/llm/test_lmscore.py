@@ -117,6 +117,22 @@ def test_ways_to_the_same_scores(spark, docs):
     assert found[0] == found[1] == found[2]
 
 
+def test_filter_and_words_are_not_collected_as_rows(spark, monkeypatch):
+    taken, kind = [], type(spark.range(1))
+    full = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: taken.append(df.columns) or full(df))
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('w', id, ' w', id % 7) as text")
+    model = lmscore.train(docs, settings=Settings(shard_bytes=100, slice_bytes=500))
+    slices = list(model.slices())
+    assert lmscore.score(docs, model, ["doc_id"]).count() == 300
+    assert taken and not any({"bits", "word"} & set(columns) for columns in taken)
+    held = {r["shard"]: bytes(r["bits"]) for r in full(model.shards)}
+    got = [s.data[a:b].tobytes() for s in slices for a, b in zip(s.starts, s.starts[1:])]
+    assert got == [held.get(i, b"") for i in range(model.n_shards)] and len(slices) > 2
+    assert [s.first for s in slices] == [0, *np.cumsum([len(s.starts) - 1 for s in slices])[:-1]]
+    assert all(len(s.data) <= 500 or len(s.starts) == 2 for s in slices)
+
+
 def test_filter_misses_nothing_and_seldom_errs():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 20_000).astype(np.uint64)
