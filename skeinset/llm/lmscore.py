@@ -8,7 +8,8 @@ about a hundred answers is a wrong yes, which adds a level.
 Probabilities are interpolated: ``p(w | h) = (c(h w) + pull * p(w | shorter h)) / (c(h) + pull)``, down to the
 word alone with 0.1 added to each count.
 
-The filter grows with the corpus, so it is made in shards, by tasks, each as large as its n-grams need, and goes
+The filter grows with the corpus, so it is made in shards, by tasks, each as large as its n-grams need: a task that
+reads texts sends a shard's n-grams of a batch in one row, and the counts are added up where the shard is made. It goes
 to the workers in slices of ``slice_bytes`` at most, each a broadcast of its own. A task reads texts once, keeps
 the n-grams of a group of them, and asks one slice after the other; it holds one at a time.
 
@@ -34,7 +35,10 @@ from skeinset.llm.common import as_bytes, hold, keep, salted_join
 END = "\n"  # no word has white space
 GROUP_BYTES = 12 << 20  # of texts whose n-grams are looked up together
 PART_BYTES = 2 << 20  # of texts that are split into tokens at once
-STRIP = 1 << 17
+STRIP = 1 << 17  # n-grams that are hashed at once
+ASKED = 1 << 19  # n-grams whose levels are looked up together
+SENT = 1 << 18  # n-grams that are sent to shards at once
+ADDED = 1 << 22  # n-grams of a shard that are added up at once
 LEVELS = 63
 _U = np.uint64
 
@@ -118,10 +122,21 @@ def longer_grams(tokens: Tokens, one: np.ndarray, order: int) -> Iterator[tuple[
         yield place >= n - 2, last
 
 
-def _bits_at(keys: np.ndarray, level: int | np.ndarray, size: np.ndarray | int, probe: int) -> np.ndarray:
+def by_shard(keys: np.ndarray, n_shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shards of n-grams, in order, and the places of their n-grams."""
+    shard = (keys % _U(n_shards)).astype(np.min_scalar_type(n_shards))
+    order = np.argsort(shard, kind="stable")
+    return shard[order], order.astype(np.min_scalar_type(-len(keys) - 1))
+
+
+def _entries(keys: np.ndarray, level: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of n-grams with a number begin, and how far each goes, of 2^32."""
     h = mixed(keys + (np.atleast_1d(level).astype(_U) + _U(1)) * _U(0xD1B54A32D192ED03))
-    step = ((h >> _U(32)) + _U(probe) * (h | _U(1))) & _U(0xFFFFFFFF)
-    return (step * np.asarray(size).astype(_U)) >> _U(32)
+    return (h >> _U(32)).astype(np.uint32), h.astype(np.uint32) | np.uint32(1)
+
+
+def _bits_at(begin: np.ndarray, step: np.ndarray, size: np.ndarray | int, probe: int) -> np.ndarray:
+    return ((begin + np.uint32(probe) * step).astype(_U) * np.asarray(size).astype(_U, copy=False)) >> _U(32)
 
 
 def filter_of(keys: np.ndarray, counts: np.ndarray, bits: int, probes: int) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -132,9 +147,9 @@ def filter_of(keys: np.ndarray, counts: np.ndarray, bits: int, probes: int) -> t
     flags = np.zeros(-(-int(n.sum()) * bits // 8) * 8, dtype=bool)
     if len(flags) >> 32:
         raise ValueError("too many n-grams for one shard")
-    each = np.repeat(keys, n)
+    entries = _entries(np.repeat(keys, n), number)
     for probe in range(probes):
-        flags[_bits_at(each, number, len(flags), probe)] = True
+        flags[_bits_at(*entries, len(flags), probe)] = True
     held = np.bincount(level, minlength=LEVELS), np.bincount(level, weights=counts, minlength=LEVELS)
     return np.packbits(flags, bitorder="little").tobytes(), *held
 
@@ -149,21 +164,27 @@ class Slice:
 
     def levels(self, keys: np.ndarray, shard: np.ndarray, probes: int) -> np.ndarray:
         """The level of each n-gram, -1 if it isn't held. All are of this slice's shards."""
-        at = (shard - self.first).astype(np.int64)
-        start, size = self.starts[at], (self.starts[at + 1] - self.starts[at]) * 8
-        out = np.full(len(keys), -1, dtype=np.int64)
-        left = np.flatnonzero(size > 0)
-        level = 0
-        while len(left):
-            for probe in range(probes):
-                bit = _bits_at(keys[left], level, size[left], probe).astype(np.int64)
-                left = left[(self.data[start[left] + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1]
-            out[left] = level
-            level += 1
-            if level == LEVELS:
+        at = shard.astype(np.int64) - self.first
+        out = np.full(len(keys), -1, dtype=np.int8)
+        left = np.flatnonzero(self.starts[at + 1] > self.starts[at])
+        for level in range(LEVELS):
+            if not len(left):
                 break
+            left = np.concatenate([self._held(keys, at, left[i : i + STRIP], level, probes) for i in range(0, len(left), STRIP)])
+            out[left] = level
         return out
 
+    def _held(self, keys: np.ndarray, at: np.ndarray, left: np.ndarray, level: int, probes: int) -> np.ndarray:
+        """Those places of ``left`` whose n-gram the filter holds with a level."""
+        begin, step = _entries(keys[left], level)
+        start = self.starts[at[left]]
+        size = ((self.starts[at[left] + 1] - start) * 8).view(_U)
+        for probe in range(probes):
+            bit = _bits_at(begin, step, size, probe).view(np.int64)
+            yes = np.flatnonzero(((self.data[start + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1).view(bool))
+            left, begin, step, start, size = left[yes], begin[yes], step[yes], start[yes], size[yes]
+        return left
+
 
 @dataclass
 class Model:
@@ -218,17 +239,38 @@ def _grams_of(order: int, n_shards: int):
             n = np.bincount(tokens.ids, minlength=len(one))
             found = [(np.append(one[n > 0], _START), np.append(n[n > 0], len(tokens.ends)))]
             found += [np.unique(keys[has], return_counts=True) for has, keys in longer_grams(tokens, one, order)]
+            del tokens, one, n
             for keys, counts in found:
-                shard = pa.array((keys % _U(n_shards)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([shard, pa.array(keys.view(np.int64)), pa.array(counts)], names=["shard", "key", "n"])
+                shard, places = by_shard(keys, n_shards)
+                for i in range(0, len(keys), SENT):
+                    some, at = shard[i : i + SENT], places[i : i + SENT]
+                    cuts = np.flatnonzero(np.append(True, some[1:] != some[:-1]))
+                    ends = np.append(cuts, len(some)).astype(np.int32) * np.int32(8)
+                    sent = [_packed(keys[at], ends), _packed(counts[at].astype(np.int64), ends)]
+                    yield pa.RecordBatch.from_arrays([pa.array(some[cuts].astype(np.int32)), *sent], names=["shard", "keys", "counts"])
 
     return run
 
 
+def _packed(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the numbers, cut at ``ends``."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+
+
+def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, and the sum of its counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[cuts], np.add.reduceat(counts[order], cuts)
+
+
 def _shards_of(bits: int, probes: int):
-    def made(shard: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        keys, counts = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("key", "n"))
-        data, items, totals = filter_of(keys.view(_U), counts, bits, probes)
+    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return counted(*(np.concatenate(c) for c in zip(*held)))
+
+    def made(shard: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        data, items, totals = filter_of(*added(held), bits, probes)
         return pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([data], pa.binary()), pa.array([items]), pa.array([totals])],
             names=["shard", "bits", "items", "totals"],
@@ -243,8 +285,15 @@ def _shards_of(bits: int, probes: int):
                 if held and now != shard[a]:
                     yield made(now, held)
                     held = []
-                now = int(shard[a])
-                held.append(batch.slice(a, b - a))
+                if not held:
+                    now, size, most = int(shard[a]), 0, ADDED
+                sent = (b"".join(batch.column(c).slice(a, b - a).to_pylist()) for c in ("keys", "counts"))
+                held.append(tuple(np.frombuffer(s, kind) for s, kind in zip(sent, (_U, np.int64))))
+                size += len(held[-1][0])
+                if size > most:  # frequent n-grams come with every batch of texts
+                    held = [added(held)]
+                    size = len(held[0][0])
+                    most = ADDED + 2 * size
         if held:
             yield made(now, held)
 
@@ -259,9 +308,8 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     words = texts.mapInArrow(_words_of, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     words = keep(words, "words")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
-    dealt = texts.mapInArrow(_grams_of(settings.order, n_shards), "shard int, key bigint, n bigint").repartition("shard")
-    counted = dealt.groupBy("shard", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("shard")
-    made = counted.mapInArrow(
+    dealt = texts.mapInArrow(_grams_of(settings.order, n_shards), "shard int, keys binary, counts binary").repartition("shard")
+    made = dealt.sortWithinPartitions("shard").mapInArrow(
         _shards_of(settings.bits, settings.probes), "shard int, bits binary, items array<bigint>, totals array<double>"
     )
     shards = keep(made, "shards")
@@ -320,17 +368,17 @@ class _Scorer:
             masks.append(has)
         return _Part(columns, tokens.ids.astype(np.int32), starts, keys, backs, masks)
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        shard = (keys % _U(self.n_shards)).astype(np.int64)
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        shard, order = by_shard(keys, self.n_shards)  # a shard's bytes are then met together
         level = np.full(len(keys), -1, dtype=np.int8)
         for sent, first, last in self.slices:
-            own = np.flatnonzero((shard >= first) & (shard < last))
+            a, b = np.searchsorted(shard, np.array([first, last], dtype=shard.dtype))
             # of several slices none stays in the worker's memory, as ``value`` would
             part = sent.value if len(self.slices) == 1 else sent.load_from_path(sent._path)
-            for i in range(0, len(own), STRIP):
-                some = own[i : i + STRIP]
-                level[some] = part.levels(keys[some], shard[some], self.settings.probes)
-        return self.means[level + 1]
+            for i in range(a, b, ASKED):
+                some = order[i : min(i + ASKED, b)]
+                level[some] = part.levels(keys[some], shard[i : i + len(some)], self.settings.probes)
+        return level
 
     def log_sums(self, part: _Part, found: list[np.ndarray]) -> np.ndarray:
         """log10 of the model's probability of each text; ``found`` are the counts of ``part.keys``."""
@@ -349,11 +397,16 @@ class _Scorer:
         return np.add.reduceat(np.log10(p), part.starts)
 
     def columns(self, parts: list[_Part]) -> Iterator[list[pa.Array]]:
-        """The columns of each part of a group, whose n-grams are looked up together."""
-        sizes = [len(k) for p in parts for k in p.keys]
-        found = iter(np.split(self.counts(np.concatenate([k for p in parts for k in p.keys])), np.cumsum(sizes)[:-1]))
+        """The columns of each part of a group, whose n-grams are looked up together and not kept in the parts."""
+        sizes = [[len(k) for k in p.keys] for p in parts]
+        keys = np.concatenate([k for p in parts for k in p.keys])
         for part in parts:
-            yield [*part.columns, pa.array(self.log_sums(part, [next(found) for _ in part.keys]))]
+            part.keys.clear()
+        level = np.split(self.levels(keys), np.cumsum([n for s in sizes for n in s])[:-1])
+        del keys
+        found = (self.means[v + 1] for v in level)
+        for part, own in zip(parts, sizes):
+            yield [*part.columns, pa.array(self.log_sums(part, [next(found) for _ in own]))]
 
 
 def _small(texts: pa.Array) -> Iterator[slice]:

@@ -148,6 +148,46 @@ def test_filter_misses_nothing_and_seldom_errs():
     assert (part.levels(others, np.full(len(others), 4), 5) == -1).all()  # an empty shard
 
 
+def test_filter_hashes_an_ngram_once_a_level(monkeypatch):
+    rng = np.random.default_rng(2)
+    keys, counts = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(1, 9, 5000)
+    hashed, mixed = [], lmscore.mixed
+    monkeypatch.setattr(lmscore, "mixed", lambda x: hashed.append(len(x)) or mixed(x))
+    entries = int(sum(int(c).bit_length() for c in counts))
+    data, _, _ = lmscore.filter_of(keys, counts, **EXACT)
+    assert sum(hashed) == entries
+    hashed.clear()
+    level = lmscore.Slice(0, np.array([0, len(data)]), np.frombuffer(data, np.uint8)).levels(keys, np.zeros(5000, int), EXACT["probes"])
+    assert level.tolist() == [int(c).bit_length() - 1 for c in counts] and sum(hashed) == entries + 5000
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_tasks_send_a_row_a_shard(monkeypatch, order):
+    texts = [["the calm river", "", "the calm the calm", None, " ".join(f"w{i % 700}" for i in range(3000))], ["", None], ["The river w1 w2"] * 3]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], names=["text"]) for t in texts]
+    want = Counter()
+    for b in batches:
+        tokens = lmscore.Tokens.of(b.column(0))
+        one = lmscore.hashed_words(tokens.words)
+        want.update([*one[tokens.ids].tolist(), *lmscore._START.tolist() * len(b)])
+        for has, keys in lmscore.longer_grams(tokens, one, order):
+            want.update(keys[has].tolist())
+    for sent in (1 << 22, 100):
+        monkeypatch.setattr(lmscore, "SENT", sent)
+        rows = pa.Table.from_batches(list(lmscore._grams_of(order, 7)(iter(batches))))
+        assert sent == 100 or rows.num_rows <= len(batches) * order * 7
+        rows = rows.sort_by("shard")
+        made = [r for b in lmscore._shards_of(**EXACT)(iter(rows.to_batches(max_chunksize=5))) for r in b.to_pylist()]
+        assert [r["shard"] for r in made] == sorted({k % 7 for k in want})
+        data = {r["shard"]: r["bits"] for r in made}
+        starts = np.cumsum([0, *(len(data.get(i, b"")) for i in range(7))])
+        part = lmscore.Slice(0, starts, np.frombuffer(b"".join(data.get(i, b"") for i in range(7)), np.uint8))
+        keys = np.array(list(want), dtype=np.uint64)
+        got = part.levels(keys, (keys % np.uint64(7)).astype(np.int64), EXACT["probes"])
+        assert got.tolist() == [c.bit_length() - 1 for c in want.values()]
+        assert sum(sum(r["totals"]) for r in made) == want.total() and sum(sum(r["items"]) for r in made) == len(want)
+
+
 def test_better_than_words_alone(spark):
     rng = random.Random(6)
     follows = {w: rng.sample(range(200), 3) for w in range(200)}
